@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import bpe, dart_minhash, decontaminate, secrets, warc
-from lexloom.llm.runtime import new_path
+from lexloom.llm import ann, bpe, dart_minhash, decontaminate, quality, secrets, toxicity, warc
+from lexloom.llm.runtime import held_out, new_path
 
 
 def _tokenizer() -> str:
@@ -21,6 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit_from(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digests of the base kinds, and all spans."""
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
@@ -61,17 +68,32 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit_from(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= quality.GOOD_FROM).cast("int").alias("predicted"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and back."""
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth row."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
+    "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLE_SQL: dict[str, str] = {
