@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import ann, bpe, dart_minhash, decontaminate, quality, secrets, toxicity, warc
+from lexloom.llm import ann, bpe, dart_minhash, decontaminate, html_extract, langid, quality, secrets, toxicity, warc
 from lexloom.llm.runtime import held_out, new_path
 
 
@@ -28,6 +28,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digests of the base kinds, and all spans."""
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
@@ -68,6 +73,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page."""
+    model = langid.fit_from(_table(spark, sf_dir, "documents"))
+    return langid.identify(_table(spark, sf_dir, "pages"), model or langid.fit([("", "und")]))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -87,10 +98,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_text": op2_html_text,
     "op3_secret_scan": op3_secret_scan,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
+    "op7_language": op7_language,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
