@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import col
@@ -53,21 +53,26 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def simhash(tokens: Column) -> Column:
-    """64-bit SimHash: per bit the sign of the tokens' votes, a tie counts as set; 0 without tokens.
+def simhashes(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """key and ``sig``, the 64-bit SimHash of its tokens: per bit the sign of their votes, a tie counts as set; 0 without tokens.
 
-    Votes are summed token by token within the row, so nothing is shuffled.
+    Every distinct token of a row is hashed once, and two bits' votes share a sum.
     """
-    bits = F.transform(tokens, hash64)
+    one = F.lit(1).cast("bigint")
+    votes = df.select(F.col(key).alias("_k"), F.explode(tokens).alias("_w")).groupBy("_k", "_w").agg(F.count("*").alias("_c")).select("_k", "_c", hash64(F.col("_w")).alias("_h"))
 
-    def bit(i: int) -> Column:
-        votes = F.aggregate(bits, F.lit(0), lambda s, h: s + F.when(F.shiftright(h, i).bitwiseAND(F.lit(1).cast("bigint")) == 1, 1).otherwise(-1))
-        return F.when(votes >= 0, F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
+    def pair(i: int) -> Column:
+        low, high = F.shiftrightunsigned("_h", i).bitwiseAND(one), F.shiftrightunsigned("_h", i + 32).bitwiseAND(one)
+        return F.sum(F.col("_c") * (low + F.shiftleft(high, 32))).alias(f"_v{i}")
 
-    out = bit(0)
-    for i in range(1, 64):
-        out = out.bitwiseOR(bit(i))
-    return F.when(F.size(tokens) > 0, out).otherwise(F.lit(0).cast("bigint"))
+    sums = votes.groupBy("_k").agg(F.sum("_c").alias("_n"), *(pair(i) for i in range(32)))
+    sig = F.lit(0).cast("bigint")
+    for i in range(32):
+        low, high = F.col(f"_v{i}").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")), F.shiftrightunsigned(f"_v{i}", 32)
+        for at, ones in ((i, low), (i + 32, high)):
+            sig = sig.bitwiseOR(F.when(2 * ones >= F.col("_n"), F.shiftleft(one, at)).otherwise(F.lit(0).cast("bigint")))
+    found = sums.select("_k", sig.alias("sig"))
+    return df.select(key).join(found, F.col(key) == F.col("_k"), "left").select(key, F.coalesce("sig", F.lit(0).cast("bigint")).alias("sig"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -97,4 +102,4 @@ def duplicate_decision(cosine_: Column, hamming_: Column, minhash_: Column) -> C
     return (cosine_ >= 0.97) | ((cosine_ >= 0.92) & ((hamming_ <= 10) | (minhash_ >= 0.80)))
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "Column", "F", "col")]
+__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "Column", "DataFrame", "F", "col")]

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from lexloom.functions import similarity as sim
 from lexloom.functions import text as T
+from lexloom.operators.graph import persisted
 
 _WORD_SYMBOL = r"[^\p{L}\p{N}_\s]"
 
@@ -92,9 +93,11 @@ def duplicate_probability(df: DataFrame, id_col: str, text_col: str, near: bool
     Texts are first reduced to their distinct keys and signatures to distinct
     ones, so copies meet once; a bucket is paired by signatures, not by rows.
     """
-    keyed = df.select(F.col(id_col).alias("id"), T.sha256_text(T.text_key(text_col)).alias("h"), sim.simhash(T.english_words(T.text_key(text_col))).alias("sig"))
-    texts = keyed.groupBy("h").agg(F.count("*").alias("n"), F.first("sig").alias("sig"))
+    keyed = df.select(F.col(id_col).alias("id"), T.sha256_text(T.text_key(text_col)).alias("h"))
+    texts = keyed.groupBy("h").agg(F.count("*").alias("n"))
     if near:
+        words = df.groupBy(T.sha256_text(T.text_key(text_col)).alias("h")).agg(F.first(T.english_words(T.text_key(text_col))).alias("ws"))
+        texts = persisted(texts.join(sim.simhashes(words, "h", "ws"), "h"))
         signatures = texts.groupBy("sig").agg(F.count("*").alias("texts")).withColumn("bucket", F.shiftrightunsigned("sig", 48))
         other = signatures.select(F.col("sig").alias("sig2"), F.col("bucket").alias("bucket2"))
         nearest = signatures.join(other, (F.col("bucket") == F.col("bucket2")) & (F.col("sig") != F.col("sig2"))).groupBy("sig").agg(F.min(sim.hamming(F.col("sig"), F.col("sig2"))).alias("d"))
