@@ -1,4 +1,8 @@
-"""Shingles, signatures, embeddings and similarities as expressions."""
+"""Shingles, signatures, embeddings and similarities as expressions.
+
+Arguments should be columns of the frame (``withColumn`` first), not longer
+expressions: what stands inside a lambda is evaluated once per element.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,8 @@ EMBEDDING = 384
 def shingles(tokens: Column, size: int = 3) -> Column:
     """Distinct runs of tokens; all tokens as one if there are fewer; none without tokens."""
     n = F.size(tokens)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - (size - 1))), lambda i: F.array_join(F.slice(tokens, i, size), " "))
+    # Single elements are read in constant time; slicing would copy the whole array for each run.
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), n - size)), lambda i: F.concat_ws(" ", *(F.get(tokens, i + j) for j in range(size))))
     return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 

@@ -81,10 +81,12 @@ def jaccard_pairs(rows: DataFrame, id_col: str, items: Column, threshold: float)
 
     Sets are ordered from their rarest item; two sets that similar share an item
     of their prefixes, and their sizes differ by no more than the threshold
-    allows.  Equal sets are looked at once and expanded to stars afterwards.
+    allows.  Items are held as 64-bit hashes.  Equal sets are looked at once and expanded to stars afterwards.
     """
-    sets = persisted(rows.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(items)).alias("s")).where(F.size("s") > 0))
-    distinct = persisted(sets.groupBy("s").agg(F.min("id").alias("node")))
+    hashed = rows.select(F.col(id_col).alias("id"), items.alias("i")).select("id", F.array_sort(F.array_distinct(F.transform("i", lambda x: F.xxhash64(x)))).alias("s"))
+    # Written out before the filter, which would otherwise be pushed down and work the items out once more.
+    sets = persisted(hashed.withColumn("k", F.sha2(F.array_join(F.col("s").cast("array<string>"), ","), 256))).where(F.size("s") > 0)
+    distinct = persisted(sets.groupBy("k").agg(F.min("id").alias("node"), F.first("s").alias("s")))
     df_ = distinct.select(F.explode("s").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     whole = distinct.select("node", F.explode("s").alias("t"), F.size("s").alias("n")).join(df_, "t")
     order = Window.partitionBy("node").orderBy("df", "t")
@@ -94,7 +96,7 @@ def jaccard_pairs(rows: DataFrame, id_col: str, items: Column, threshold: float)
     full = distinct.select("node", "s")
     checked = met.join(full, "node").join(full.select(F.col("node").alias("node2"), F.col("s").alias("s2")), "node2")
     pairs = checked.select(F.col("node").alias("left_id"), F.col("node2").alias("right_id"), sim.jaccard(F.col("s"), F.col("s2")).alias("similarity")).where(F.col("similarity") >= threshold)
-    copies = sets.join(distinct, "s").where("id <> node").select(F.col("node").alias("left_id"), F.col("id").alias("right_id"), F.lit(1.0).alias("similarity"))
+    copies = sets.select("id", "k").join(distinct.select("k", "node"), "k").where("id <> node").select(F.col("node").alias("left_id"), F.col("id").alias("right_id"), F.lit(1.0).alias("similarity"))
     return pairs.unionByName(copies)
 
 
@@ -186,8 +188,8 @@ def contamination_exact(train: DataFrame, test: DataFrame, text_col: str = "text
 def contamination_ngrams(train: DataFrame, test: DataFrame, id_col: str, test_id: str, size: int = 8) -> DataFrame:
     """(train id, test id, shared runs of ``size`` tokens); each side's runs are made distinct before they meet."""
     def runs(df: DataFrame, i: str, name: str) -> DataFrame:
-        toks = T.tokens("text")
-        return df.select(F.col(i).alias(name), F.explode(sim.shingles(toks, size)).alias("g"))
+        own = df.select(F.col(i).alias(name), T.tokens("text").alias("toks"))
+        return own.select(name, F.explode(sim.shingles(F.col("toks"), size)).alias("g"))
 
     return runs(train, id_col, "id").join(runs(test, test_id, "test_id"), "g").groupBy("id", "test_id").agg(F.count("*").alias("shared"))
 

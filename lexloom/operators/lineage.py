@@ -43,15 +43,16 @@ def paraphrases(df: DataFrame, prompt: str, split: str, words_from: float = 0.75
     Both similarities are found by prefix filtering, so only prompts that share a rare item meet.
     """
     p = df.select(prompt, split).distinct()
-    own = p.select(F.col(prompt).alias("p")).distinct()
-    norm = T.text_key("p")
+    own = p.select(F.col(prompt).alias("p")).distinct().withColumn("norm", T.text_key("p"))
     a = jaccard_pairs(own, "p", T.tokens("p"), words_from).select("left_id", "right_id")
-    b = jaccard_pairs(own, "p", sim.char_trigrams(norm), chars_from).select("left_id", "right_id")
+    b = jaccard_pairs(own, "p", sim.char_trigrams(F.col("norm")), chars_from).select("left_id", "right_id")
     pairs = a.union(b).where("left_id <> right_id").distinct()
     s = p.groupBy(F.col(prompt).alias("p")).agg(F.array_sort(F.collect_set(split)).alias("splits"))
     both = pairs.join(s.select(F.col("p").alias("left_id"), F.col("splits").alias("left_splits")), "left_id").join(s.select(F.col("p").alias("right_id"), F.col("splits").alias("right_splits")), "right_id")
     across = (F.size(F.array_union("left_splits", "right_splits")) > 1)
-    return both.where(across).select("left_id", "right_id", sim.jaccard(F.array_distinct(T.tokens("left_id")), F.array_distinct(T.tokens("right_id")), 0.0).alias("words"), sim.jaccard(sim.char_trigrams(T.text_key("left_id")), sim.char_trigrams(T.text_key("right_id")), 0.0).alias("chars"))
+    both = both.where(across).withColumn("ln", T.text_key("left_id")).withColumn("rn", T.text_key("right_id"))
+    both = both.withColumn("lt", sim.char_trigrams(F.col("ln"))).withColumn("rt", sim.char_trigrams(F.col("rn")))
+    return both.select("left_id", "right_id", sim.jaccard(F.array_distinct(T.tokens("left_id")), F.array_distinct(T.tokens("right_id")), 0.0).alias("words"), sim.jaccard(F.col("lt"), F.col("rt"), 0.0).alias("chars"))
 
 
 def leakage_keys(records: DataFrame, metadata: str, pattern: str = "score|label") -> DataFrame:

@@ -105,7 +105,7 @@ def benchmark_means(gold: DataFrame, models: DataFrame, predictions: DataFrame,
 
 
 def ops_summary(df: DataFrame, by: str, latency: str, confidence: str, ts: str) -> DataFrame:
-    return df.groupBy(by).agg(F.count("*").alias("n"), F.avg(latency).alias("mean_latency"), F.avg(confidence).alias("mean_confidence"), ((F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / 1e6).alias("duration_s"))
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.avg(latency).alias("mean_latency"), F.avg(confidence).alias("mean_confidence"), ((F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))) / 1e6).alias("duration_s"))
 
 
 # -- ensembles -------------------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import similarity as sim
 from lexloom.functions import text as T
 from lexloom.operators import dedup, lifecycle, lineage, quality, records, splits, stats, validation
+from lexloom.operators.graph import persisted
 from lexloom.plans.registry import query
 from lexloom.plans.views import RECORDS, RESPONSES, bucket, norm, responses, split_case
 from lexloom.plans.views import records as record_view
@@ -129,7 +130,7 @@ GRAMS = f"""keyed AS (SELECT min(id) AS id, lower({norm("text")}) AS k FROM reco
 def _near(spark, sf_dir):
     r = record_view(spark, sf_dir)
     distinct = dedup.first_by(r, T.text_key("text"), "id")
-    pairs = dedup.jaccard_pairs(distinct, "id", sim.shingles(T.tokens(T.text_key("text"))), 0.8)
+    pairs = dedup.jaccard_pairs(distinct.withColumn("toks", T.tokens(T.text_key("text"))), "id", sim.shingles(F.col("toks")), 0.8)
     return distinct, pairs.select(F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"), "similarity")
 
 
@@ -162,7 +163,9 @@ def near_dup_decisions(spark, sf_dir):
 @query()
 def lsh_candidates(spark, sf_dir):
     """MinHash bands: candidates, and how many the estimated similarity confirms."""
-    r = dedup.first_by(record_view(spark, sf_dir), T.text_key("text"), "id").select("id", sim.minhash(sim.shingles(T.tokens("text"))).alias("sig")).where(F.col("sig")[0].isNotNull())
+    r = dedup.first_by(record_view(spark, sf_dir), T.text_key("text"), "id").select("id", T.tokens("text").alias("toks")).select("id", sim.shingles(F.col("toks")).alias("sh"))
+    r = persisted(r).where(F.size("sh") > 0).select("id", sim.minhash(F.col("sh")).alias("sig"))
+    r = persisted(r)
     pairs = dedup.banded_pairs(r, "id", sim.band_keys(F.col("sig")))
     j = pairs.join(r.select(F.col("id").alias("left_id"), F.col("sig").alias("a")), "left_id").join(r.select(F.col("id").alias("right_id"), F.col("sig").alias("b")), "right_id")
     return j.agg(F.count("*").alias("candidates"), F.count_if(sim.minhash_similarity(F.col("a"), F.col("b")) >= 0.8).alias("confirmed"))
