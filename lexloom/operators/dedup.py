@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -132,8 +133,6 @@ def sequence_pairs(rows: DataFrame, id_col: str, text_col: str, threshold: float
     """
     import difflib
 
-    import pandas as pd
-
     own = rows.select(F.col(id_col).alias("id"), T.text_key(text_col).alias("t"))
     texts = persisted(own.groupBy("t").agg(F.min("id").alias("id")))
     w = texts.select("id", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,8 +158,6 @@ def run_labelling(pending: DataFrame, prompt: str, key: str, teacher: Callable[[
 
     Resume by giving only ``pending(...)`` rows; each answer carries its key.
     """
-    import pandas as pd
-
     kind = pending.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

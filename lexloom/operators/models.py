@@ -111,16 +111,17 @@ def ops_summary(df: DataFrame, by: str, latency: str, confidence: str, ts: str)
 # -- ensembles -------------------------------------------------------------------
 def weighted_vote(df: DataFrame, case: str, label: str, weight: Column, confidence: Column) -> DataFrame:
     """Label of most weight, then of highest confidence, then the first by name."""
-    g = df.groupBy(case, label).agg(F.sum(weight).alias("w"), F.max(confidence).alias("c"))
-    return g.groupBy(case).agg(F.min_by(label, F.struct((-F.round("w", 9)).alias("w"), (-F.col("c")).alias("c"), F.col(label))).alias(label), F.sum("w").alias("total_weight"))
+    g = df.groupBy(case, label).agg(F.sum(weight).alias("_w"), F.max(confidence).alias("_c"))
+    return g.groupBy(case).agg(F.min_by(label, F.struct((-F.round("_w", 9)).alias("w"), (-F.col("_c")).alias("c"), F.col(label))).alias(label), F.sum("_w").alias("total_weight"))
 
 
 def majority_score(df: DataFrame, case: str, score: str, confidence: str, *ties: str) -> DataFrame:
     """Most frequent rounded score; if several are, that of the most confident member."""
-    g = df.groupBy(case, F.rint(score).cast("bigint").alias("v")).agg(F.count("*").alias("c"))
-    top = g.groupBy(case).agg(F.max("c").alias("c"), F.max_by("v", F.struct("c", -F.col("v"))).alias("v")).join(g.withColumnRenamed("v", "v2"), [case, "c"]).groupBy(case).agg(F.first("v").alias("v"), F.count("*").alias("tied"))
-    best = df.groupBy(case).agg(F.min_by(F.rint(score).cast("bigint"), F.struct((-F.col(confidence)).alias("c"), *ties)).alias("confident"))
-    return top.join(best, case).select(case, F.when(F.col("tied") == 1, F.col("v")).otherwise(F.col("confident")).alias(score))
+    g = df.groupBy(case, F.rint(score).cast("bigint").alias("_v")).agg(F.count("*").alias("_n"))
+    most = g.groupBy(case).agg(F.max("_n").alias("_n"))
+    top = g.join(most, [case, "_n"]).groupBy(case).agg(F.min("_v").alias("_v"), F.count("*").alias("_tied"))
+    best = df.groupBy(case).agg(F.min_by(F.rint(score).cast("bigint"), F.struct((-F.col(confidence)).alias("c"), *ties)).alias("_sure"))
+    return top.join(best, case).select(case, F.when(F.col("_tied") == 1, F.col("_v")).otherwise(F.col("_sure")).alias(score))
 
 
 def weighted_mean(df: DataFrame, case: str, score: str, weight: Column) -> DataFrame:

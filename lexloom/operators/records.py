@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +95,6 @@ def scrub_json(df: DataFrame, column: str, parts: Sequence[str] = ("score", "lab
     """JSON texts with such keys removed at any depth, and how many there were (``_hits``)."""
     import json
 
-    import pandas as pd
-
     @F.pandas_udf("clean string, hits int")
     def run(texts: pd.Series) -> pd.DataFrame:
         def walk(x, hits):  # noqa: ANN001, ANN202
@@ -125,8 +124,6 @@ def json_object(df: DataFrame, column: str, out: str = "json", greedy: bool = Fa
     """The first JSON object of a text: the text itself, a fenced block, or the first balanced braces (``greedy``: first to last brace)."""
     import json
 
-    import pandas as pd
-
     def balanced(s: str) -> str | None:
         start = s.find("{")
         while start >= 0:

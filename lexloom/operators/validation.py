@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,8 +106,6 @@ def schema_violations(schema: dict, value: object, path: str = "$") -> list[str]
 
 def json_schema(df: DataFrame, column: str, schema: dict, out: str = "violations") -> DataFrame:
     """Violations of a JSON Schema by JSON texts, as sorted texts; a text that is no JSON has one, ``$: json``."""
-    import pandas as pd
-
     def check(t: str | None) -> list[str]:
         try:
             return sorted(schema_violations(schema, json.loads(t or "")))

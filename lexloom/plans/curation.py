@@ -173,7 +173,8 @@ def lsh_candidates(spark, sf_dir):
 
 @query()
 def sequence_matcher_pairs(spark, sf_dir):
-    return dedup.sequence_pairs(record_view(spark, sf_dir).where(F.length("text") < 400), "id", "text", 0.9)
+    """Pairs of records at a longest-matching-blocks ratio of 0.9."""
+    return dedup.sequence_pairs(record_view(spark, sf_dir), "id", "text", 0.9)
 
 
 @query("""WITH n AS (SELECT vec_id, embedding FROM embeddings) SELECT a.vec_id AS left_id, b.vec_id AS right_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 5) AS similarity

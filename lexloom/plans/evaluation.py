@@ -281,10 +281,10 @@ def latest_review(spark, sf_dir):
     return models.latest(reviews(spark, sf_dir), ["case_id"], "created_at", "review_id").select("case_id", "decision", "review_id")
 
 
-@query(f"""WITH {REVIEWS}, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY created_at DESC, review_id DESC) AS k FROM reviews) WHERE k = 1), c AS (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)
+@query(f"""WITH {REVIEWS}, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY created_at DESC, review_id DESC) AS k FROM reviews) WHERE k = 1), c AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
   SELECT CASE WHEN c_custkey IS NULL THEN 'unresolved' WHEN decision = 'purchase' THEN 'accepted' WHEN decision = 'error' THEN 'rejected' ELSE 'unresolved' END AS route, count(*) AS n FROM l LEFT JOIN c ON l.case_id = c.c_custkey GROUP BY 1""")
 def review_routing(spark, sf_dir):
-    cases = read(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("case_id"))
+    cases = read(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("case_id"))
     last = models.latest(reviews(spark, sf_dir), ["case_id"], "created_at", "review_id")
     return models.route_reviews(last, cases, "case_id", "decision").groupBy("route").agg(F.count("*").alias("n"))
 
@@ -425,7 +425,7 @@ def stream_append_resume(spark, sf_dir):
     base = _stream_folder(spark, "append")
     rows = reviews(spark, sf_dir)
     kind = rows.schema.simpleString()[7:-1].replace(":", " ")
-    for part in (rows.where("review_id % 3 <> 0"), rows):
+    for part in (rows.where("decision <> 'view'"), rows):
         part.write.mode("append").parquet(f"{base}/in")
         logs.append_once(logs.source(spark, f"{base}/in", kind), "review_id", f"{base}/log", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/log").agg(F.count("*").alias("n"), F.count_distinct("review_id").alias("ids"))

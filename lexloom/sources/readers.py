@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -17,8 +18,6 @@ ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 
 def text_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as text with the first encoding that decodes them: path, text, encoding."""
-    import pandas as pd
-
     @F.pandas_udf("text string, encoding string")
     def decode(contents: pd.Series) -> pd.DataFrame:
         rows = []
@@ -40,7 +39,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
     Files are read whole, which line numbers ask for; one file is one row on the way.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     rows = files.select("path", F.posexplode(F.split("value", r"\r?\n")).alias("i", "value"))
     return rows.where(F.trim("value") != "").select("path", (F.col("i") + 1).alias("line"), "value")
 
@@ -53,7 +52,7 @@ def delimited(spark: SparkSession, path: str) -> DataFrame:
 
 def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON files that hold an object, a list of objects, or an object with a list under ``records``; what is no object is left out."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
     items = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")).when(F.get_json_object("value", "$.records").isNotNull(), F.from_json(F.get_json_object("value", "$.records"), "array<string>")).otherwise(F.array("value"))
     rows = files.select("path", F.posexplode(items).alias("row_index", "json")).where(F.json_object_keys("json").isNotNull())
     return rows.select("path", "row_index", "json", F.from_json("json", schema).alias("r")).select("path", "row_index", "json", "r.*")
@@ -90,7 +89,7 @@ def jsonl_typed(spark: SparkSession, path: str, aliases: dict[str, Sequence[str]
 
 def txt_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: id (the file's stem) and text."""
-    f = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    f = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return f.select(F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("id"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
 
 
@@ -102,8 +101,6 @@ def split_tables(spark: SparkSession, path: str) -> DataFrame:
 
 def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per page of PDF files; needs the optional package pypdf on the executors."""
-    import pandas as pd
-
     def run(batches):  # noqa: ANN001, ANN202
         import io
 

@@ -276,14 +276,13 @@ def test_lifecycle(spark):
     assert {r.id: r.kept for r in d.decide(d.cluster(docs)).collect()} == {1: False, 2: True, 3: True}
 
 
-class _Echo:
-    def answer(self, prompts):
-        return [p.upper() for p in prompts]
-
-
 def test_labelling_resumes(spark):
+    class Echo:
+        def answer(self, prompts):
+            return [p.upper() for p in prompts]
+
     inputs = frame(spark, [(1, "a"), (2, "b")], "k int, p string")
-    first = lifecycle.run_labelling(inputs, "p", "k", _Echo)
+    first = lifecycle.run_labelling(inputs, "p", "k", Echo)
     assert {r.k: r.answer for r in first.collect()} == {1: "A", 2: "B"}
     assert lifecycle.pending(inputs, first, "k").count() == 0
 
