@@ -169,7 +169,7 @@ def repeat_agreement(df: DataFrame, value: str, *by: str) -> DataFrame:
 def label_accuracy(predicted: Column, expected: Column, alternatives: Column) -> Column:
     """1 for the expected label, 0.5 for an accepted alternative; where none is expected, markers of none are right."""
     p, e = T.normalize_label(predicted), T.normalize_label(expected)
-    return F.when(p == e, 1.0).when((e != "") & F.array_contains(F.transform(alternatives, T.normalize_label), p), 0.5).otherwise(0.0)
+    return F.when(p == e, 1.0).when((e != "") & F.array_contains(F.transform(alternatives, lambda x: T.normalize_label(x)), p), 0.5).otherwise(0.0)
 
 
 def cost_usd(tokens_in: Column, tokens_out: Column, price_in: Column, price_out: Column) -> Column:

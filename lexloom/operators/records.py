@@ -166,7 +166,7 @@ def json_object(df: DataFrame, column: str, out: str = "json", greedy: bool = Fa
 def listify(x: Column) -> Column:
     """A text's items, by the first of bar, semicolon and newline that it has; blanks left out."""
     parts = F.when(x.contains("|"), F.split(x, r"\|")).when(x.contains(";"), F.split(x, ";")).otherwise(F.split(x, "\n"))
-    return F.filter(F.transform(parts, F.trim), lambda p: p != "")
+    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
 
 
 def output_fields(json: Column) -> Column:
@@ -178,7 +178,7 @@ def output_fields(json: Column) -> Column:
         T.parse_score(first("$.score", "$.output.score", "$.overall_score")).alias("score"),
         T.normalize_label(first("$.primary_fallacy", "$.fallacies.primary", "$.fallacy_label")).alias("label"),
         T.normalize_confidence(first("$.confidence", "$.output.confidence").try_cast("double")).alias("confidence"),
-        F.transform(listify(F.coalesce(first("$.predicted_fallacies", "$.fallacies.list"), F.lit(""))), T.normalize_label).alias("fallacies"),
+        F.transform(listify(F.coalesce(first("$.predicted_fallacies", "$.fallacies.list"), F.lit(""))), lambda x: T.normalize_label(x)).alias("fallacies"),
         first("$.feedback.summary", "$.feedback", "$.educational_feedback").alias("feedback"),
     )
 

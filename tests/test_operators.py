@@ -291,3 +291,15 @@ def test_compile_sft_checks_split_first(spark):
     labels = frame(spark, [(1, "out", 0.9), (2, "out", 0.9), (3, "other", 0.1)], "id int, output string, confidence double")
     inputs = frame(spark, [(1, "in", "nowhere"), (2, "in", "train"), (3, "in3", "train")], "id int, input string, split string")
     assert [r.id for r in lifecycle.compile_sft(labels, inputs, "id", 0.5).collect()] == [2]
+
+
+def test_output_fields_and_lists(spark):
+    df = frame(spark, [('{"output": {"score": "4"}, "fallacies": {"primary": "Straw-Man", "list": "a b; None ;C"}, "confidence": 80, "feedback": "ok"}',), ("{}",)], "j string")
+    a, b = (r.o for r in df.select(records.output_fields(F.col("j")).alias("o")).collect())
+    assert (a.score, a.label, a.confidence, a.fallacies, a.feedback) == (4.0, "straw_man", 0.8, ["a_b", "", "c"], "ok")
+    assert (b.score, b.label, b.fallacies) == (None, "", [])
+
+
+def test_label_accuracy(spark):
+    df = frame(spark, [("Straw man", "straw_man", ["x"]), ("x", "straw_man", ["X"]), ("none", "", []), ("y", "z", None)], "p string, e string, a array<string>")
+    assert [r[0] for r in df.select(metrics.label_accuracy(F.col("p"), F.col("e"), F.col("a"))).collect()] == [1.0, 0.5, 1.0, 0.0]
