@@ -19,15 +19,13 @@ from lexloom.llm.runtime import materialize, new_path
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids`` (column ``kept``)."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept"]), "left_semi")
+    """Rows of ``docs`` whose doc_id is among ``ids`` (column ``kept``).  The list grows with the input, so the rows are shuffled at every size."""
+    return docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["kept"]), "left_semi")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; a repeated doc_id goes only if each of its rows is rejected."""
-    model = quality.fit_from(docs, _table(spark, sf_dir, "labels"))
-    good = quality.score(docs, model).where(F.col("score") >= quality.GOOD_FROM)
-    return _only(docs, materialize(good.select(F.col("doc_id").alias("kept")).distinct(), "good"))
+    """Documents that the quality classifier does not reject."""
+    return quality.keep(docs, quality.fit_from(docs, _table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

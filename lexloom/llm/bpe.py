@@ -31,7 +31,7 @@ from lexloom.llm.runtime import text_or_empty
 
 #: Symbols of a piece that are encoded in one go, and pieces in each of the two generations of a worker's cache.
 LEAF = 64
-CACHED_PIECES = 250_000
+CACHED_PIECES = 120_000
 #: Tokens on either side of a join that the first window takes.
 FIRST_WINDOW = 4
 #: Leaves from which a piece's leaves are encoded by a pool of threads.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import materialize
+from lexloom.llm.runtime import discard, materialize
 
 #: Rounds after which the graph counts as broken; each round at least halves the depth of a label tree.
 MOST_ROUNDS = 60
@@ -29,9 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
         # A label is a node too: take over its label.
         jump = lower.select(F.col("node").alias("new"), F.col("new").alias("next"))
         step = materialize(lower.join(jump, "new", "left").select("node", F.least(F.col("new"), F.coalesce("next", "new")).alias("label"), F.col("label").alias("before")), "labels")
+        discard(lower)
         if not step.where("label <> before").limit(1).count():
             break
-        labels = step.select("node", "label")
+        discard(labels)
+        labels = step
     else:
         raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     return step.select("node", F.col("label").alias("component"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.components import components
-from lexloom.llm.runtime import materialize, text_or_empty
+from lexloom.llm.runtime import discard, materialize, text_or_empty
 from lexloom.llm.textwords import elements, mix, shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -324,10 +324,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = materialize(kept, "buckets")
     members = materialize(keyed.join(kept, F.col("bucket") == F.col("kept"), "left_semi"), "members")
     wanted = materialize(members.select(F.col("node").alias("wanted")).distinct(), "wanted")
-    found = _with_elements(texts.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi").dropDuplicates(["doc_id"]), size)
+    # The list grows with the input, so the texts are shuffled at every size.
+    found = _with_elements(texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left_semi").dropDuplicates(["doc_id"]), size)
     found = materialize(found, "elements")
     filled = members.join(found, F.col("node") == F.col("doc_id")).select("bucket", "doc_id", "elements", "n")
     links = materialize(verified_links(filled, similarity), "links")
+    discard(members, wanted, found, kept)
     label = components(links.select("a", "b")).select(F.col("node").alias("linked"), "component")
     classes = materialize(nodes.select(F.col("fp").alias("own_fp"), "node").join(label, F.col("node") == F.col("linked"), "left").select("own_fp", F.coalesce("component", "node").alias("component")), "classes")
     return sig.select("doc_id", "fp").join(classes, F.col("fp") == F.col("own_fp"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))

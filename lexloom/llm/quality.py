@@ -190,3 +190,17 @@ def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def keep(docs: DataFrame, model: QualityModel | None, text_col: str = "text", least: float = GOOD_FROM) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or more; one pass, nothing is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(model.scores(texts) >= least)) if model else part
+
+    return docs.mapInArrow(run, docs.schema)

@@ -38,14 +38,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lexloom_path = path
+    return out
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by this package."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing will read any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(df._lexloom_path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def text_or_empty(name: str) -> Column:
