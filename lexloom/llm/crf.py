@@ -74,7 +74,7 @@ def marginals(model: Crf, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Probability of each label at each step; ``x`` holds the sequences' rows one after another."""
     lengths = np.asarray(lengths)
     out = np.zeros((len(x), len(model.start)))
-    emit = x @ model.emit
+    emit = (x @ model.emit.astype(x.dtype)).astype(np.float64)
     starts = np.cumsum(lengths) - lengths
     for batch in _batches(lengths):
         batch = batch[lengths[batch] > 0]
@@ -92,7 +92,7 @@ def viterbi(model: Crf, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The most likely labels; among equals the smaller label."""
     lengths = np.asarray(lengths)
     out = np.zeros(len(x), np.int64)
-    emit = x @ model.emit
+    emit = (x @ model.emit.astype(x.dtype)).astype(np.float64)
     starts = np.cumsum(lengths) - lengths
     for batch in _batches(lengths):
         batch = batch[lengths[batch] > 0]
@@ -145,11 +145,11 @@ def train(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, labels: int, ridge:
     for k in range(1, rounds + 1):
         grads = [np.zeros_like(a) for a in model.arrays()]
         for rows, gold, size, mask, w, _ in prepared:
-            scores = _pad(rows @ model.emit, size, mask.shape[1])
+            scores = _pad((rows @ model.emit.astype(rows.dtype)).astype(np.float64), size, mask.shape[1])
             z, fwd, bwd = _forward_backward(model, scores, size)
             p = np.exp(fwd + bwd - z[:, None, None]) * mask[:, :, None]
             wide = w[:, None, None]
-            grads[0] += rows.T @ ((gold - p) * wide)[mask]
+            grads[0] += rows.T @ ((gold - p) * wide)[mask].astype(rows.dtype)
             n = np.arange(len(size))
             grads[2] += ((gold[:, 0] - p[:, 0]) * w[:, None]).sum(0)
             grads[3] += ((gold[n, size - 1] - p[n, size - 1]) * w[:, None]).sum(0)

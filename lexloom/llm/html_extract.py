@@ -32,7 +32,7 @@ from lexloom.llm.html_pages import MAIN_MARK, REST_MARK, marked_page
 from lexloom.llm.runtime import text_or_empty
 
 #: Pages the extractor is trained on, and uses of a feature from which it counts.
-TRAINING_PAGES, LEAST_USES = 500, 4
+TRAINING_PAGES, LEAST_USES = 900, 4
 
 #: Elements whose text is no text, elements without content, and elements that do not end a block.
 _SILENT = {"script", "style", "template"}
@@ -220,7 +220,7 @@ def train(seeds: range) -> Extractor:
     numbers = {f: i for i, f in enumerate(sorted(f for f, n in uses.items() if n >= LEAST_USES))}
     own = Extractor(crf.Crf.zeros(len(numbers), 2), numbers)
     x = own.matrix([b for p in pages for b in p])
-    own.chain = crf.train(x, np.array(labels).astype(int), np.array([len(p) for p in pages]), 2, ridge=2e-4, rounds=80)
+    own.chain = crf.train(x, np.array(labels).astype(int), np.array([len(p) for p in pages]), 2, ridge=5e-5, rounds=120)
     return own
 
 
