@@ -40,8 +40,8 @@ WINDOW, STRIDE = 6, 4
 ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 8 << 10
 #: Bytes of the ordinary dictionary that each window is preceded by.
 KNOWN = 48
-#: Bytes of a sequence, the distinct contexts it must have in toxic text, and how much more often it must occur there.
-GRAM, LEAST_CONTEXTS, LEAST_RATIO = 5, 6, 20
+#: Bytes of sequences, how surprising (in nats) their contexts in toxic text must be if both texts were alike, and how much more frequent they must be there.
+GRAMS, LEAST_SURPRISE, LEAST_RATIO = (5, 6, 7, 8), 21.0, 6.0
 LARGEST = 3
 
 
@@ -57,23 +57,23 @@ def windows(text: str, size: int = WINDOW, stride: int = STRIDE) -> list[bytes]:
     return [b" " + b" ".join(w[i : i + size]) + b" " for i in range(0, max(1, len(w) - (size - stride)), stride)]
 
 
-def _grams(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(code of each run of GRAM bytes, whether it stays within a word and the space before it)."""
+def _grams(b: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each run of ``size`` bytes, whether it stays within a word and the space before it)."""
     a = np.frombuffer(b, np.uint8)
-    n = max(0, len(a) - GRAM + 1)
+    n = max(0, len(a) - size + 1)
     code, inside = np.zeros(n, np.uint64), np.ones(n, bool)
-    for i in range(GRAM):
+    for i in range(size):
         code = (code << np.uint64(8)) | a[i : n + i]
         if i:
             inside &= a[i : n + i] != 32
     return code, inside
 
 
-def _contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _contexts(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Byte sequences and the number of distinct contexts each stands in."""
     codes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for t in texts:
-        code, inside = _grams(t)
+        code, inside = _grams(t, size)
         a, n = np.frombuffer(t, np.uint8), len(code)
         before = np.zeros(n, np.uint64)
         for k in range(1, 7):
@@ -87,20 +87,25 @@ def _contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def toxic_passages(toxic: list[bytes], ordinary: list[bytes]) -> Counter:
     """Passages of toxic texts that are covered by tell-tale byte sequences, and how often each occurs."""
-    seen, count = _contexts(toxic)
-    other, other_count = _contexts(ordinary)
-    at = np.searchsorted(other, seen)
-    at[at == len(other)] = 0
-    elsewhere = np.where(other[at] == seen, other_count[at], 0) if len(other) else np.zeros(len(seen))
-    ratio = LEAST_RATIO * max(1, sum(map(len, toxic))) / max(1, sum(map(len, ordinary)))
-    telling = seen[(count >= LEAST_CONTEXTS) & (count + 0.5 >= ratio * (elsewhere + 0.5))]
+    here, there = max(1, sum(map(len, toxic))), max(1, sum(map(len, ordinary)))
+    share = here / (here + there)
+    telling = {}
+    for size in GRAMS:
+        seen, count = _contexts(toxic, size)
+        other, other_count = _contexts(ordinary, size)
+        at = np.searchsorted(other, seen)
+        at[at == len(other)] = 0
+        elsewhere = np.where(other[at] == seen, other_count[at], 0) if len(other) else np.zeros(len(seen))
+        q = count / (count + elsewhere)
+        surprise = count * np.log(q / share) + elsewhere * np.log(np.maximum(1 - q, 1e-300) / (1 - share))
+        telling[size] = seen[(q > share) & (surprise >= LEAST_SURPRISE) & (count / here >= LEAST_RATIO * (elsewhere + 0.5) / there)]
     found: Counter = Counter()
     for t in toxic:
-        code, _ = _grams(t)
         covered = np.zeros(len(t) + 1, np.int8)
-        hit = np.isin(code, telling)
-        for k in range(GRAM):
-            covered[k : k + len(hit)] |= hit
+        for size in GRAMS:
+            hit = np.isin(_grams(t, size)[0], telling[size])
+            for k in range(size):
+                covered[k : k + len(hit)] |= hit
         edges = np.flatnonzero(np.diff(np.concatenate([[0], covered])))
         found.update(t[a : b + (t[b : b + 1] == b" ")] for a, b in zip(edges[::2], edges[1::2]))
     return found
