@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lexloom.llm.runtime import materialize
 
@@ -170,8 +169,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
         def released() -> Iterator[pa.RecordBatch]:
             if held:
-                n = [len(a) for a, _ in held.values()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(list(held), np.int64), n)), pa.array(np.concatenate([a for a, _ in held.values()])), pa.array(np.concatenate([b for _, b in held.values()]))], ["query_id", "vec_id", "score"])
+                ends = np.cumsum([0, *(len(a) for a, _ in held.values())]).astype(np.int32)
+                item = pa.StructArray.from_arrays([pa.array(-np.concatenate([b for _, b in held.values()])), pa.array(np.concatenate([a for a, _ in held.values()]))], ["far", "vec_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), item)], ["query_id", "best"])
                 held.clear()
 
         def close(sides: tuple[list, list]) -> None:
@@ -219,7 +219,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         close(sides)
         yield from released()
 
-    found = dealt.mapInArrow(rank, "query_id bigint, vec_id bigint, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # A row per task and query; far is the negative score, so the order of the pairs is that of nearness and then id.
+    found = dealt.mapInArrow(rank, "query_id bigint, best array<struct<far: double, vec_id: bigint>>")
+    merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, k).alias("best"))
+    ranked = merged.select("query_id", F.posexplode("best").alias("rank", "x"))
+    return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", (-F.col("x.far")).alias("score"))
