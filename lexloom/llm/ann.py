@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Largest inner product is turned into smallest Euclidean distance by one more
-coordinate that gives every row the norm of the longest.  Each table hashes a
+coordinate that gives every row the norm of the longest of its norm range, so that
+a single long vector does not press all others into few cells.  Each table hashes a
 vector to a cell of a grid of width ``WIDTH`` over random Gaussian projections.
 A query visits its own cell and perturbed ones, in the order of their estimated
 success (the sum of squared distances to the cell walls that are crossed), in
 every table; what the tables find is merged and ranked by the exact inner
 product of the original vectors.  How many cells a query visits is set on a
-bounded sample so that the sample's recall reaches ``TARGET``; every row is indexed.
+bounded sample so that the sample's recall reaches ``TARGET``: steps of one cell are
+tried first, then of two.  Where neither reaches it, and for each query that is left
+with fewer than ``k`` rows, all rows are searched.  Every row is indexed.
 
 Work is dealt out by (table, cell, block of rows, block of queries).  A cell of any
 size is cut into blocks, so equal vectors in a third of all rows are just more
@@ -40,7 +43,17 @@ BROADCAST_CELLS = 200_000
 #: Queries whose best rows a task keeps before it lets them go.
 HELD_QUERIES = 50_000
 
-_STEPS = np.array(sorted(product((0, 1, -1), repeat=PROJECTIONS), key=lambda s: sum(map(abs, s))))
+#: Rows whose norms differ by less than this factor are scaled by the same norm.
+NORM_RANGE = 2**0.5
+
+
+def _steps(reach: int) -> np.ndarray:
+    one = sorted(range(-reach, reach + 1), key=lambda s: (abs(s), -s))
+    return np.array(sorted(product(one, repeat=PROJECTIONS), key=lambda s: sum(map(abs, s))))
+
+
+#: Perturbations of a query's cell by up to one and up to two cells in each projection.
+_STEPS = {reach: _steps(reach) for reach in (1, 2)}
 
 
 class Grid:
@@ -64,21 +77,24 @@ class Grid:
 
     def rows(self, x: np.ndarray) -> np.ndarray:
         """Cell of each row in each table."""
-        unit = x / self.norm
+        own = np.sqrt((x * x).sum(1))
+        unit = x / (self.norm * NORM_RANGE ** -np.floor(np.log(self.norm / own) / np.log(NORM_RANGE) + 1e-9))[:, None]
         more = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1)))
         return self._codes(np.floor(self._places(np.concatenate([unit, more[:, None]], 1))).astype(np.int64))
 
-    def probes(self, q: np.ndarray, many: int) -> np.ndarray:
+    def probes(self, q: np.ndarray, many: int, reach: int = 1) -> np.ndarray:
         """Cells that each query visits in each table, best first: (table, query, probe)."""
         unit = q / np.sqrt((q * q).sum(1))[:, None]
         f = self._places(np.concatenate([unit, np.zeros((len(q), 1))], 1))
         cell = np.floor(f)
         inside = f - cell
-        cost = np.stack([np.zeros_like(inside), (1 - inside) ** 2, inside**2], -1)  # of staying, going up and going down
-        which = np.where(_STEPS == 0, 0, np.where(_STEPS == 1, 1, 2))
-        total = sum(cost[:, :, i, :][:, :, which[:, i]] for i in range(PROJECTIONS))
+        steps = _STEPS[reach]
+        far = np.arange(-reach, reach + 1)
+        up, down = far - inside[..., None], inside[..., None] - far - 1
+        cost = np.where(far > 0, up, np.where(far < 0, down, 0)) ** 2  # of each step: the squared distance to the wall it ends at
+        total = sum(cost[:, :, i, :][:, :, steps[:, i] + reach] for i in range(PROJECTIONS))
         order = np.argsort(total, axis=2, kind="stable")[:, :, :many]
-        return self._codes(cell[:, :, None, :].astype(np.int64) + _STEPS[order])
+        return self._codes(cell[:, :, None, :].astype(np.int64) + steps[order])
 
 
 def _exact(m: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -91,25 +107,29 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def probes_for(x: np.ndarray, grid: Grid, k: int) -> int:
-    """The fewest probes with which the sample's own neighbours are found at the target rate."""
+def probes_for(x: np.ndarray, grid: Grid, k: int) -> tuple[int, int] | None:
+    """The fewest probes, and their reach, with which the sample's own neighbours are found at the target rate; none if no number does."""
     q = x[:: max(1, len(x) // SAMPLE_QUERIES)]
     at = np.arange(0, len(x), max(1, len(x) // SAMPLE_QUERIES))
     score = q @ x.T
     score[np.arange(len(q)), at] = -np.inf
     k = min(k, len(x) - 1)
     if k < 1:
-        return 1
+        return 1, 1
     near = np.argsort(-score, axis=1)[:, :k]
     own = grid.rows(x)
-    visits = grid.probes(q, len(_STEPS))
-    first = np.full(near.shape, len(_STEPS))
-    for t in range(TABLES):
-        same = own[t][near][:, :, None] == visits[t][:, None, :]
-        first = np.minimum(first, np.where(same.any(2), same.argmax(2), len(_STEPS)))
-    reached = np.array([(first < n).mean() for n in range(1, len(_STEPS) + 1)])
-    good = np.flatnonzero(reached >= TARGET)
-    return int(good[0]) + 1 if len(good) else len(_STEPS)
+    for reach, steps in _STEPS.items():
+        visits = grid.probes(q, len(steps), reach)
+        first = np.full(near.shape, len(steps))
+        for t in range(TABLES):
+            for j in range(k):
+                same = own[t][near[:, j]][:, None] == visits[t]
+                first[:, j] = np.minimum(first[:, j], np.where(same.any(1), same.argmax(1), len(steps)))
+        reached = np.cumsum(np.bincount(first.ravel(), minlength=len(steps) + 1)[:-1]) / first.size
+        good = np.flatnonzero(reached >= TARGET)
+        if len(good):
+            return int(good[0]) + 1, reach
+    return None
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = NEIGHBOURS) -> DataFrame:
@@ -126,7 +146,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     rows = rows.where(F.size("v") == dim)
     grid = Grid(dim, norm)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()
-    many = probes_for(np.array([r["v"] for r in sample]), grid, k)
+    probed = probes_for(np.array([r["v"] for r in sample]), grid, k)
 
     def hashed(probing: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +157,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                         continue
                     x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                     ids = part.column(0).to_numpy(zero_copy_only=False)
-                    cells = grid.probes(x, many) if probing else grid.rows(x)[:, :, None]
+                    cells = grid.probes(x, *probed) if probing else grid.rows(x)[:, :, None]
                     t, n, p = cells.shape
                     own = np.tile(np.repeat(np.arange(n), p), t)
                     raw = [r.tobytes() for r in x]
@@ -147,12 +167,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     columns = "tab int, cell bigint, id bigint, v binary"
     members = materialize(rows.mapInArrow(hashed(False), columns), "ann-rows")
-    queries = materialize(rows.where(F.col("vec_id") % every == 0).mapInArrow(hashed(True), columns), "ann-probes")
-    blocks = members.groupBy("tab", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("row_blocks")).join(queries.groupBy("tab", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("query_blocks")), ["tab", "cell"])
-    blocks = materialize(blocks.select(F.col("tab").alias("t"), F.col("cell").alias("c"), "row_blocks", "query_blocks"), "ann-cells")
-    if blocks.count() <= BROADCAST_CELLS:
-        blocks = F.broadcast(blocks)
-    met = (F.col("tab") == F.col("t")) & (F.col("cell") == F.col("c"))
+    # One cell of all rows, each once: what is searched here is searched whole.
+    whole = members.where("tab = 0").withColumn("cell", F.lit(0).cast("bigint"))
+    asking = whole.where(F.col("id") % every == 0)
 
     def every_block(name: str):
         return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
@@ -160,10 +177,6 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     def own_block(name: str):
         return F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
 
-    left = members.join(blocks, met).select("tab", "cell", own_block("row_blocks").alias("rb"), every_block("query_blocks").alias("qb"), F.lit(0).alias("side"), "id", "v")
-    right = queries.join(blocks, met).select("tab", "cell", every_block("row_blocks").alias("rb"), own_block("query_blocks").alias("qb"), F.lit(1).alias("side"), "id", "v")
-    dealt = left.unionByName(right).repartition("tab", "cell", "rb", "qb").sortWithinPartitions("tab", "cell", "rb", "qb", "side", "id")
-
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -219,8 +232,27 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         close(sides)
         yield from released()
 
-    # A row per task and query; far is the negative score, so the order of the pairs is that of nearness and then id.
-    found = dealt.mapInArrow(rank, "query_id bigint, best array<struct<far: double, vec_id: bigint>>")
-    merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, k).alias("best"))
+    def search(members: DataFrame, queries: DataFrame) -> DataFrame:
+        """query_id and its best ``k`` among the rows of the cells it visits."""
+        blocks = members.groupBy("tab", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("row_blocks")).join(queries.groupBy("tab", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("query_blocks")), ["tab", "cell"])
+        blocks = materialize(blocks.select(F.col("tab").alias("t"), F.col("cell").alias("c"), "row_blocks", "query_blocks"), "ann-cells")
+        if blocks.count() <= BROADCAST_CELLS:
+            blocks = F.broadcast(blocks)
+        met = (F.col("tab") == F.col("t")) & (F.col("cell") == F.col("c"))
+        left = members.join(blocks, met).select("tab", "cell", own_block("row_blocks").alias("rb"), every_block("query_blocks").alias("qb"), F.lit(0).alias("side"), "id", "v")
+        right = queries.join(blocks, met).select("tab", "cell", every_block("row_blocks").alias("rb"), own_block("query_blocks").alias("qb"), F.lit(1).alias("side"), "id", "v")
+        dealt = left.unionByName(right).repartition("tab", "cell", "rb", "qb").sortWithinPartitions("tab", "cell", "rb", "qb", "side", "id")
+        # A row per task and query; far is the negative score, so the order of the pairs is that of nearness and then id.
+        found = dealt.mapInArrow(rank, "query_id bigint, best array<struct<far: double, vec_id: bigint>>")
+        return found.groupBy("query_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, k).alias("best"))
+
+    if probed is None:
+        merged = search(whole, asking)
+    else:
+        queries = materialize(rows.where(F.col("vec_id") % every == 0).mapInArrow(hashed(True), columns), "ann-probes")
+        merged = materialize(search(members, queries), "ann-found").where(F.size("best") >= k)
+        short = materialize(asking.join(merged.select(F.col("query_id").alias("id")), "id", "left_anti").select("tab", "cell", "id", "v"), "ann-short")
+        if short.limit(1).count():
+            merged = merged.unionByName(search(whole, short))
     ranked = merged.select("query_id", F.posexplode("best").alias("rank", "x"))
     return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", (-F.col("x.far")).alias("score"))

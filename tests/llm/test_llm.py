@@ -444,6 +444,42 @@ def test_nearest_small(spark):
     assert ann.nearest(few.where("false")).count() == 0
 
 
+def _recall(spark, x):
+    """Recall of the 20 nearest, and the fewest rows that a query gets."""
+    got = collections.defaultdict(set)
+    for r in ann.nearest(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id bigint, embedding array<double>")).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    queries = range(0, len(x), 20)
+    return hits / (20 * len(queries)), min(len(got[q]) for q in queries)
+
+
+def test_nearest_of_unequal_norms(spark):
+    """One vector far longer than the others, or norms spread widely, cost neither recall nor rows."""
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    longer = x.copy()
+    longer[7] *= 10
+    for y in (longer, x * np.exp(0.5 * rng.standard_normal((2000, 1)))):
+        recall, least = _recall(spark, y)
+        assert recall >= 0.9 and least == 20
+
+
+def test_nearest_fills_up_and_searches_whole(spark, monkeypatch):
+    """Queries that the cells leave short, and tables where no number of probes is enough, are searched exactly."""
+    x = np.random.default_rng(1).standard_normal((400, 16))
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "probes_for", lambda *a: None)
+    assert _recall(spark, x) == (1.0, 20)
+    monkeypatch.setattr(ann, "probes_for", lambda *a: (1, 1))
+    assert _recall(spark, x)[1] == 20
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path, vocabulary):
     """Every stage against brute force, on documents with copies, leaks, secrets and odd rows."""
