@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexloom.llm import bpe, dart_minhash, decontaminate, quality, secrets
 from lexloom.llm.queries import _table, _tokenizer
-from lexloom.llm.runtime import materialize, new_path
+from lexloom.llm.runtime import materialize, new_path, text_or_empty
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -37,10 +37,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    clean = materialize(found.groupBy("doc_id").agg(F.max("n_hit").alias("n")).where("n = 0").select(F.col("doc_id").alias("kept")), "clean")
-    return _only(docs, clean)
+    """Documents without a passage of the benchmark; each row by its own text, whatever its id."""
+    digest = F.unhex(F.sha2(text_or_empty("text").cast("binary"), 256))
+    found = decontaminate.contamination(docs.select(digest.alias("digest"), "text"), _table(spark, sf_dir, "benchmark"), id_col="digest")
+    clean = materialize(found.where("n_hit = 0").select(F.col("doc_id").alias("clean")).distinct(), "clean")
+    # The list grows with the input, so the rows are shuffled at every size.
+    return docs.join(clean.hint("merge"), digest == F.col("clean"), "left_semi")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -503,3 +503,14 @@ def test_pipeline_stages(spark, tmp_path, vocabulary):
     assert kept == sorted([*map(str, range(40)), "201", "202", "None"])
     assert "hunter22" not in d.where("doc_id = 201").first().text
     assert p.run(spark, str(tmp_path)).count() == len(kept)
+
+
+def test_pipeline_decontamination_is_per_row(spark, tmp_path):
+    """Rows that share an id, or have none, are kept or dropped each by its own text."""
+    import corpus_pipeline as p
+
+    leak = "a b c d e f g h i j k l"
+    docs = frame(spark, [(None, "clean one"), (None, "x " + leak + " y"), (None, None), (1, "clean two"), (1, leak), (2, leak), (2, "clean one")])
+    frame(spark, [(1, leak)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = p.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == [("1", "clean two"), ("2", "clean one"), ("None", "None"), ("None", "clean one")]
