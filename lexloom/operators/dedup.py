@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -125,30 +124,110 @@ def cosine_pairs(rows: DataFrame, id_col: str, vector: str, threshold: float, bl
     return dealt.groupBy("lo", "hi").applyInArrow(pairs, "left_id bigint, right_id bigint, similarity double")
 
 
+#: Texts, and characters, of a block of ``sequence_pairs``; two blocks are in memory at a time.
+SEQUENCE_ROWS, SEQUENCE_CHARS = 1024, 16_000_000
+
+
+def _char_masks(t: str) -> dict[str, int]:
+    """For each character of a text the bits of the places where it stands."""
+    import numpy as np
+
+    codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return {chr(c): int.from_bytes(np.packbits(codes == c, bitorder="little").tobytes(), "little") for c in np.unique(codes)}
+
+
+def _common_reaches(masks: dict[str, int], n: int, b: str, need: float) -> bool:
+    """Whether the longest common subsequence with ``b`` of a text of ``n`` characters has ``need`` or more; left off once too much of ``b`` is unmatched."""
+    full = v = (1 << n) - 1
+    for lo in range(0, len(b), 64):
+        part = b[lo : lo + 64]
+        for c in part:
+            u = v & masks.get(c, 0)
+            v = (v + u) | (v - u)
+        v &= full
+        if lo + len(part) - (n - v.bit_count()) > len(b) - need:
+            return False
+    return True
+
+
+def _sequence_matches(left: list[tuple], right: list[tuple] | None, threshold: float) -> list[tuple]:
+    """(smaller id, larger id, ratio) of the pairs within ``left``, or between ``left`` and ``right``, that reach the threshold."""
+    import difflib
+
+    import numpy as np
+
+    def counted(rows: list[tuple]) -> tuple:
+        # Characters that fall together can only raise the bound.
+        counts = [np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % 128, minlength=128) for _, t in rows]
+        return np.array([len(t) for _, t in rows]), np.array(counts, np.int32).reshape(-1, 128)
+
+    n1, c1 = counted(left)
+    n2, c2 = (n1, c1) if right is None else counted(right)
+    other, out = left if right is None else right, []
+    for i, (x, a) in enumerate(left):
+        need = threshold * (n1[i] + n2) / 2 - 1e-6
+        at = np.flatnonzero(np.minimum(n1[i], n2) >= need)
+        at = at[at > i] if right is None else at
+        at = at[np.minimum(c1[i], c2[at]).sum(1) >= need[at]]
+        masks = _char_masks(a) if len(at) else {}
+        for j in at:
+            y, b = other[j]
+            if _common_reaches(masks, len(a), b, need[j]):
+                (first, s), (second, t) = sorted([(x, a), (y, b)])
+                ratio = difflib.SequenceMatcher(None, s, t).ratio()
+                if ratio >= threshold:
+                    out.append((first, second, ratio))
+    return out
+
+
 def sequence_pairs(rows: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """Pairs whose longest-matching-blocks ratio reaches ``threshold``, among texts of compatible lengths that share rare words.
+    """All pairs whose longest-matching-blocks ratio reaches ``threshold``, exactly.
 
-    Candidates share one of their four rarest words and pass the bound
-    2 min / (a + b) of their lengths; the ratio itself is computed in Python.
+    The matching blocks are a common subsequence of the two texts, so bounds on
+    its length pass over no pair: the shorter text, the characters that both
+    have, and the longest common subsequence itself.  Texts are dealt by classes
+    of length, of which only neighbours can match, and every pair of blocks of
+    bounded size is a task.  Equal texts are looked at once and expanded to stars afterwards.
     """
-    import difflib
+    import math
+
+    import pyarrow as pa
 
     own = rows.select(F.col(id_col).alias("id"), T.text_key(text_col).alias("t"))
     texts = persisted(own.groupBy("t").agg(F.min("id").alias("id")))
-    w = texts.select("id", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    df_ = w.groupBy("w").agg(F.count("*").alias("df"))
-    rare = w.join(df_, "w").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("df", "w"))).where("r <= 4 and df > 1").select("id", "w")
-    met = rare.join(rare.select(F.col("id").alias("id2"), "w"), "w").where("id < id2").select("id", "id2").distinct()
-    both = met.join(texts, "id").join(texts.select(F.col("id").alias("id2"), F.col("t").alias("t2")), "id2")
-    both = both.where(2 * F.least(F.length("t"), F.length("t2")) >= threshold * (F.length("t") + F.length("t2")))
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
-
-    pairs = both.select(F.col("id").alias("left_id"), F.col("id2").alias("right_id"), ratio("t", "t2").alias("similarity")).where(F.col("similarity") >= threshold)
+    width = math.log((2 - threshold) / threshold) + 1e-6
+    classed = texts.where(F.length("t") > 0).select("id", "t", F.floor(F.log(F.length("t").cast("double")) / width).cast("int").alias("cls"))
+    # As many rows as there are classes of length.
+    sized = classed.groupBy("cls").agg(F.ceil(F.greatest(F.count("*") / SEQUENCE_ROWS, F.sum(F.length("t")) / SEQUENCE_CHARS)).cast("int").alias("n")).collect()
+    blocks = {r["cls"]: r["n"] for r in sized}
+    known = F.create_map(*(F.lit(x) for pair in blocks.items() for x in pair)) if blocks else F.expr("cast(map() as map<int, int>)")
+    dealt = classed.withColumn("n", F.try_element_at(known, F.col("cls"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+
+    def task(step: int) -> DataFrame:
+        there = dealt.withColumn("m", F.try_element_at(known, F.col("cls") + step)).where("m is not null")
+        there = there.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        low, high = ("block", "other") if step > 0 else ("other", "block") if step < 0 else (F.least("block", "other"), F.greatest("block", "other"))
+        low, high = (F.col(c) if isinstance(c, str) else c for c in (low, high))
+        return there.select((F.col("cls") + min(step, 0)).alias("c1"), low.alias("lo"), (F.col("cls") + max(step, 0)).alias("c2"), high.alias("hi"), "cls", "block", "id", "t")
+
+    tasks = task(0).unionByName(task(1)).unionByName(task(-1))
+    many = sum(n * (n + 1) // 2 + n * blocks.get(c + 1, 0) for c, n in blocks.items())
+    # The number is given, as the tasks' work does not show in their bytes.
+    tasks = tasks.repartition(max(1, min(many, 4 * rows.sparkSession.sparkContext.defaultParallelism)), "c1", "lo", "c2", "hi")
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def pairs(table: pa.Table) -> pa.Table:
+        c1, lo, c2, hi = (table[c][0].as_py() for c in ("c1", "lo", "c2", "hi"))
+        sides: dict[tuple, list] = {}
+        for c, b, i, t in zip(*(table[c].to_pylist() for c in ("cls", "block", "id", "t"))):
+            sides.setdefault((c, b), []).append((i, t))
+        left = sides.get((c1, lo), [])
+        found = _sequence_matches(left, None if (c1, lo) == (c2, hi) else sides.get((c2, hi), []), threshold)
+        return pa.table({n: pa.array([p[k] for p in found], t) for k, (n, t) in enumerate([("left_id", table["id"].type), ("right_id", table["id"].type), ("similarity", pa.float64())])})
+
+    near = tasks.groupBy("c1", "lo", "c2", "hi").applyInArrow(pairs, f"left_id {kind}, right_id {kind}, similarity double")
     copies = own.withColumnRenamed("id", "right_id").join(texts.withColumnRenamed("id", "left_id"), "t").where("left_id <> right_id").select("left_id", "right_id", F.lit(1.0).alias("similarity"))
-    return pairs.unionByName(copies)
+    return near.unionByName(copies)
 
 
 # -- clusters -------------------------------------------------------------------

@@ -85,6 +85,25 @@ def test_cosine_and_sequence_pairs(spark):
     assert {(r.left_id, r.right_id) for r in dedup.sequence_pairs(texts, "id", "text", 0.8).collect()} == {(1, 2), (3, 4)}
 
 
+def test_sequence_pairs_are_all_pairs(spark, monkeypatch):
+    """Near copies that each have several words of their own are found, in blocks of any size."""
+    import difflib
+
+    monkeypatch.setattr(dedup, "SEQUENCE_ROWS", 7, raising=False)
+    r = random.Random(4)
+    base = [" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(24)) for _ in range(6)]
+    texts = list(base)
+    for b in base:
+        for _ in range(4):
+            t = list(b)
+            for _ in range(r.randint(4, 12)):
+                t[r.randrange(len(t))] = r.choice("stuvwxyz")
+            texts.append("".join(t)[: r.randint(140, 170)])
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if texts[i] != texts[j] and difflib.SequenceMatcher(None, texts[i], texts[j]).ratio() >= 0.9}
+    got = dedup.sequence_pairs(frame(spark, list(enumerate(texts)), "id int, text string"), "id", "text", 0.9).collect()
+    assert len(want) > 10 and sorted((x.left_id, x.right_id) for x in got) == sorted(want)
+
+
 def test_exact_near_removal_contamination(spark):
     df = frame(spark, [(1, "Same text"), (2, "Same   text"), (3, "other")], "id int, text string")
     g = dedup.exact_groups(df, "id", T.sha256_text(T.text_key("text"))).first()
