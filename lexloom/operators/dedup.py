@@ -57,16 +57,70 @@ def training_exact(df: DataFrame, provenance: Column, order: str) -> DataFrame:
 
 
 # -- candidates by blocking ----------------------------------------------------
-def banded_pairs(rows: DataFrame, id_col: str, keys: Column) -> DataFrame:
-    """Candidate pairs (left_id, right_id) of rows that share a band key, as stars.
+#: Signatures of a block of ``banded_counts``; two blocks are in memory at a time.
+BUCKET_ROWS = 2048
 
-    In a bucket every row is paired with its smallest id only, so a bucket of n
-    rows gives n - 1 pairs; with the exact check downstream this finds the same
-    groups for copies.  ``all_pairs_in_buckets`` gives every pair.
+
+def _banded_counts(left: list[tuple], right: list[tuple] | None, band: int, bands: int, threshold: float) -> tuple[int, int]:
+    """Candidates and confirmed pairs of (weight, signature) whose first common band is ``band``."""
+    import numpy as np
+
+    w1, s1 = np.array([w for w, _ in left]), np.array([s for _, s in left])
+    w2, s2 = (w1, s1) if right is None else (np.array([w for w, _ in right]), np.array([s for _, s in right]))
+    candidates = confirmed = 0
+    for i in range(len(s1)):
+        lo = i + 1 if right is None else 0
+        same = s1[i] == s2[lo:]
+        shared = same.reshape(len(same), bands, same.shape[1] // bands).all(2)
+        first = shared[:, band] & ~shared[:, :band].any(1)
+        weight = int(w1[i]) * w2[lo:]
+        candidates += int(weight[first].sum())
+        confirmed += int(weight[first & (same.mean(1) >= threshold)].sum())
+    return candidates, confirmed
+
+
+def banded_counts(rows: DataFrame, id_col: str, signature: str, threshold: float, bands: int = sim.BANDS, permutations: int = sim.PERMUTATIONS) -> DataFrame:
+    """One row: ``candidates``, the pairs of rows that share a band of their signatures, and ``confirmed``, those at ``threshold`` or more.
+
+    Every pair of a bucket counts, once whatever the number of its common bands.
+    Equal signatures are one node with a weight.  A bucket is cut into blocks of
+    bounded size, and every pair of its blocks is compared by itself.
     """
-    b = rows.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).select("id", "k.band", "k.key")
-    hub = b.groupBy("band", "key").agg(F.min("id").alias("left_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return b.join(hub, ["band", "key"]).where("id <> left_id").select("left_id", F.col("id").alias("right_id")).distinct()
+    import numpy as np
+    import pyarrow as pa
+
+    nodes = persisted(rows.groupBy(F.col(signature).alias("sig")).agg(F.min(id_col).alias("node"), F.count("*").alias("w")))
+    keyed = nodes.select("node", F.explode(sim.band_keys(F.col("sig"), bands, permutations)).alias("k")).select("node", "k.band", "k.key")
+    size = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key", F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("blocks"))
+    own = keyed.join(size, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(nodes, "node")
+    tasks = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = tasks.select("band", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "w", "sig")
+    dealt = tasks.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
+
+    def run(batches):
+        total = np.zeros(2, np.int64)
+
+        def close(key: tuple | None, held: list) -> None:
+            if len(held) > 1:
+                left = [r[1:] for r in held if r[0] == key[2]]
+                right = None if key[2] == key[3] else [r[1:] for r in held if r[0] == key[3]]
+                if left and (right is None or right):
+                    total[:] += _banded_counts(left, right, key[0], bands, threshold)
+
+        key, held = None, []
+        for batch in batches:
+            sigs = batch.column(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, permutations)
+            for i, (*found, block, w) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:6]))):
+                if tuple(found) != key:
+                    close(key, held)
+                    key, held = tuple(found), []
+                held.append((block, w, sigs[i]))
+        close(key, held)
+        yield pa.RecordBatch.from_arrays([pa.array([int(t)], pa.int64()) for t in total], ["candidates", "confirmed"])
+
+    equal = nodes.select((F.col("w") * (F.col("w") - 1) / 2).cast("bigint").alias("candidates")).select("candidates", F.col("candidates").alias("confirmed"))
+    counted = dealt.mapInArrow(run, "candidates bigint, confirmed bigint").unionByName(equal)
+    return counted.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("candidates", "confirmed")))
 
 
 def all_pairs_in_buckets(rows: DataFrame, id_col: str, keys: Column) -> DataFrame:

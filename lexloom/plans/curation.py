@@ -166,9 +166,7 @@ def lsh_candidates(spark, sf_dir):
     r = dedup.first_by(record_view(spark, sf_dir), T.text_key("text"), "id").select("id", T.tokens("text").alias("toks")).select("id", sim.shingles(F.col("toks")).alias("sh"))
     r = persisted(r).where(F.size("sh") > 0).select("id", sim.minhash(F.col("sh")).alias("sig"))
     r = persisted(r)
-    pairs = dedup.banded_pairs(r, "id", sim.band_keys(F.col("sig")))
-    j = pairs.join(r.select(F.col("id").alias("left_id"), F.col("sig").alias("a")), "left_id").join(r.select(F.col("id").alias("right_id"), F.col("sig").alias("b")), "right_id")
-    return j.agg(F.count("*").alias("candidates"), F.count_if(sim.minhash_similarity(F.col("a"), F.col("b")) >= 0.8).alias("confirmed"))
+    return dedup.banded_counts(r, "id", "sig", 0.8)
 
 
 @query()

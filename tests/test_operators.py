@@ -104,6 +104,26 @@ def test_sequence_pairs_are_all_pairs(spark, monkeypatch):
     assert len(want) > 10 and sorted((x.left_id, x.right_id) for x in got) == sorted(want)
 
 
+def test_lsh_candidates_are_all_pairs_of_buckets(spark, tmp_path, monkeypatch):
+    """A family of near copies counts with all its pairs, texts of equal signatures too, in blocks of any size."""
+    from lexloom.functions import similarity as sim
+    from lexloom.plans.curation import lsh_candidates
+
+    monkeypatch.setattr(dedup, "BUCKET_ROWS", 3, raising=False)
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(0, 60, 4)] + ["a b c", "a b c!", "a b, c", "only this", None]
+    texts += [" ".join(f"y{r.randint(0, 9)}" if r.random() < 0.15 else w for w in base) for _ in range(10)]
+    frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    frame(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    d = spark.read.parquet(str(tmp_path / "documents.parquet")).where("text is not null").select(sim.shingles(T.tokens("text")).alias("sh"))
+    sigs = np.array([x.s for x in d.select(sim.minhash(F.col("sh")).alias("s")).collect()])
+    equal = sigs[:, None] == sigs[None]
+    near = np.triu(equal.reshape(len(sigs), len(sigs), sim.BANDS, -1).all(3).any(2), 1)
+    got = lsh_candidates(spark, str(tmp_path)).first()
+    assert near.sum() > 100 and (got.candidates, got.confirmed) == (near.sum(), (near & (equal.mean(2) >= 0.8)).sum())
+
+
 def test_exact_near_removal_contamination(spark):
     df = frame(spark, [(1, "Same text"), (2, "Same   text"), (3, "other")], "id int, text string")
     g = dedup.exact_groups(df, "id", T.sha256_text(T.text_key("text"))).first()
