@@ -10,8 +10,9 @@ up from its rarest term: that term's postings, shifted by its offset in the
 phrase, are intersected with the shifted postings of the second-rarest term, and
 only what is left is intersected with the rest, diagonal by diagonal (document
 position minus item position).  A run of a diagonal as long as a phrase is an
-exact match.  Proximity matches are places where an item's rarest terms all
-stand within a given number of words, in any order.
+exact match.  Proximity matches are places where the rarest of an item's terms
+that occur at all stand within a given number of words, in any order, or within
+as many as hold them in the item itself, so that an item matches its own copy.
 
 Only DataFrame operations are used.  Lists of test terms and candidate rows are
 broadcast if they are counted and small; otherwise the same join is shuffled.
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 from lexloom.llm.runtime import materialize, text_or_empty
 
 WINDOW = 10
-#: Rarest terms of an item, and words they must stand within, of a proximity match.
+#: Rarest terms of an item, and words they must stand within at least, of a proximity match.
 NEAR_TERMS, NEAR_WORDS = 4, 20
 #: Rows up to which a list of terms or of row numbers is broadcast (some 16 MB); above, the join is shuffled.
 BROADCAST_ROWS = 400_000
@@ -121,15 +122,29 @@ def phrase_matches(index: Index, window: int = WINDOW) -> DataFrame:
     return runs.select("row", "item", (F.col("a") + F.col("diagonal")).alias("lo"), (F.col("b") + F.col("diagonal")).alias("hi"))
 
 
+def _reach(by: list[str], pos: str, terms: int) -> Column:
+    """Words from a line of (``by``, ``pos``, nth, k) until each of its ``k`` terms, numbered ``nth``, has stood; null if one does not follow."""
+    ahead = Window.partitionBy(*by).orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    following = [F.min(F.when(F.col("nth") == i, F.col(pos))).over(ahead) for i in range(terms)]
+    missing = [(F.col("k") > i) & p.isNull() for i, p in enumerate(following)]
+    some = missing[0]
+    for m in missing[1:]:
+        some = some | m
+    last = F.greatest(*following) if terms > 1 else following[0]
+    return F.when(~some, last - F.col(pos) + 1)
+
+
 def proximity_matches(index: Index, terms: int = NEAR_TERMS, within: int = NEAR_WORDS) -> DataFrame:
-    """Places (row, item, pos) from which an item's ``terms`` rarest distinct terms all follow within ``within`` words."""
+    """Places (row, item, pos) from which an item's ``terms`` rarest distinct terms all follow within ``within`` words, or the fewest that hold them in the item if those are more; terms that no text has are passed over."""
     frequency = index.postings.groupBy("term").agg(F.count("*").alias("cf"))
-    distinct = index.terms.select("item", "term").distinct().join(frequency, "term", "left")
-    rarest = distinct.groupBy("item").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("cf", F.lit(0)).alias("cf"), "term"))), 1, terms).alias("ts"))
-    asked = materialize(rarest.select("item", F.size("ts").alias("k"), F.explode("ts").alias("t")).select("item", "k", F.col("t.term").alias("asked")), "near-terms")
-    hits = index.postings.join(_hinted(asked), F.col("term") == F.col("asked")).select("row", "item", "k", "pos", "term")
-    ahead = Window.partitionBy("row", "item").orderBy("pos").rangeBetween(0, within - 1)
-    return hits.withColumn("met", F.size(F.collect_set("term").over(ahead))).where("met = k").select("row", "item", "pos")
+    distinct = index.terms.select("item", "term").distinct().join(frequency, "term")
+    rarest = distinct.groupBy("item").agg(F.slice(F.array_sort(F.collect_list(F.struct("cf", "term"))), 1, terms).alias("ts"))
+    chosen = materialize(rarest.select("item", F.size("ts").alias("k"), F.posexplode("ts").alias("nth", "t")).select("item", "k", "nth", F.col("t.term").alias("asked")), "near-chosen")
+    there = index.terms.select(F.col("item").alias("item2"), "q", "term").join(chosen, (F.col("item2") == F.col("item")) & (F.col("term") == F.col("asked"))).select("item", "k", "nth", "q")
+    spread = there.withColumn("reach", _reach(["item"], "q", terms)).groupBy(F.col("item").alias("item2")).agg(F.greatest(F.min("reach"), F.lit(within)).alias("most"))
+    asked = materialize(chosen.join(spread, F.col("item2") == F.col("item")).select("item", "k", "nth", "asked", "most"), "near-terms")
+    hits = index.postings.join(_hinted(asked), F.col("term") == F.col("asked")).select("row", "item", "k", "nth", "most", "pos")
+    return hits.withColumn("reach", _reach(["row", "item"], "pos", terms)).where("reach <= most").select("row", "item", "pos")
 
 
 def contamination(docs: DataFrame, tests: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

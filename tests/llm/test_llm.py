@@ -250,6 +250,16 @@ def test_proximity(spark):
     assert [r.doc_id for r in near] == [1]
 
 
+def test_proximity_of_spread_and_absent_terms(spark):
+    """An item whose rarest terms stand far apart matches its own copy, and one absent word does not make it unmatchable."""
+    filler = ["the of a in"] * 10
+    far = " ".join(["rare1", *filler, "rare2", *filler, "rare3 rare4"])
+    docs = [(i, "the of a in " * 30) for i in range(3)] + [(10, "x " + far + " y"), (11, "rare1 rare2 rare3"), (12, "five six seven eight nine"), (13, "five " + "w " * 30 + "six seven eight nine")]
+    items = [(1, far), (2, "five six absent seven eight nine")]
+    got = decontaminate.contamination(frame(spark, docs), frame(spark, items, "item_id bigint, text string")).collect()
+    assert {r.doc_id: list(r.near_items) for r in got if r.near_items} == {10: ["1"], 12: ["2"]}
+
+
 def test_contamination_empty(spark):
     items = frame(spark, [(1, "a b")], "item_id bigint, text string")
     assert decontaminate.contamination(empty(spark), items).count() == 0
