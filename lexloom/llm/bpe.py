@@ -228,20 +228,22 @@ def decoder(path: str) -> Decoder:
 SCHEMA_DIGEST = "doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
+def digests(own: TreeEncoder, back: Decoder, text: str) -> tuple[int, str, str]:
+    """Number of tokens, SHA-256 of the ids, and of the text that the decoder makes of those ids."""
+    got = own.entries(text)
+    ids = " ".join(b for _, b, _ in got)
+    return sum(a for a, _, _ in got), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.decode([int(i) for i in ids.split()]).encode()).hexdigest()
+
+
 def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, number of tokens, SHA-256 of the ids and of the decoded text (see the module's docstring)."""
     kind = docs.select(id_col).dtypes[0][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own, reader = encoder(path), decoder(path)
         for batch in batches:
-            n, ids, back = [], [], []
-            for text in batch.column(1):
-                got = own.entries(text.as_py())
-                a, b, c = zip(*got) if got else ((), (), ())
-                n.append(sum(a))
-                ids.append(hashlib.sha256(" ".join(b).encode()).hexdigest())
-                back.append(hashlib.sha256(" ".join(c).encode()).hexdigest())
+            found = [digests(own, reader, text.as_py()) for text in batch.column(1)]
+            n, ids, back = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, SCHEMA_DIGEST.format(kind=kind))

@@ -65,6 +65,18 @@ def test_bpe_long_unsplit_text_is_joined(vocabulary):
         assert own.encode(s) == lib.encode(s, add_special_tokens=False).ids
 
 
+def test_bpe_digest_is_of_the_decoded_ids(vocabulary):
+    """What the decoder makes of the ids is what the digest shows."""
+    class Wrong:
+        def decode(self, ids):
+            return f"{len(ids)} ids"
+
+    own, text = bpe.encoder(vocabulary), "some words here"
+    n, _, right = bpe.digests(own, bpe.decoder(vocabulary), text)
+    assert right == hashlib.sha256(bpe.decoder(vocabulary).decode(own.encode(text)).encode()).hexdigest()
+    assert bpe.digests(own, Wrong(), text)[2] == hashlib.sha256(f"{n} ids".encode()).hexdigest() != right
+
+
 def test_bpe_frames(spark, odd, vocabulary):
     from tokenizers import Tokenizer
 
