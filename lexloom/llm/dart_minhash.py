@@ -15,13 +15,18 @@ equal to their similarity.
 
 Join.  ``BANDS`` bands of ``ROWS`` coordinates are the bucket keys: a pair at 0.8
 shares a bucket with probability 0.9998.  Texts with equal shingle multisets are one
-node.  Buckets with the same members are looked at once.  A bucket is cut into
-blocks of bounded size, and every pair of its blocks is a task of its own that
-computes the exact similarities and returns a spanning forest of the links it
-finds (not the pairs).  No bucket, partner or candidate is capped.
+node, named by its fingerprint.  Buckets with the same members are looked at once.
+Similarities are exact and found in two rounds.  First every node of a bucket is held
+against the bucket's smallest node, work that grows in proportion to the bucket.  Then
+the buckets whose nodes are not yet all connected are looked at again: the nodes outside
+a bucket's largest component are held against each other and against that component,
+block by block.  Pairs that are connected already are passed over, since only classes
+are asked for; no bucket, partner or candidate is capped.
 
 Defined results: texts without words (null, empty, only punctuation) are each
-a class of their own.  Repeated rows of one id fall into one class if their texts do.
+a class of their own.  Classes are of texts, not of ids: rows of one id fall into one
+class only if their texts do, whatever the order of the rows, and rows of a null id are
+classed like others.  A class is named by its smallest id; null where none of its rows has one.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.components import components
@@ -41,8 +46,10 @@ from lexloom.llm.textwords import elements, mix, shingles
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 22
 K = ROWS * BANDS
-#: Elements of a block; two blocks are in memory at a time.
-BLOCK_ELEMENTS = 1_000_000
+#: Nodes that are held against a bucket's smallest node in one task.
+HUB_ROWS = 256
+#: Nodes and elements of a block of the second round; two blocks are in memory at a time.
+BLOCK_ROWS, BLOCK_ELEMENTS = 1024, 1_000_000
 #: Texts signed at a time: this many elements.
 BATCH_ELEMENTS = 80_000
 
@@ -166,49 +173,92 @@ def fingerprint(ids: np.ndarray, counts: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(ids.tobytes() + counts.astype(np.int32).tobytes())
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """128 bits that rows of equal id and text share; never null."""
+    own = F.col(id_col).cast("string")
+    name = F.when(own.isNull(), F.lit("-")).otherwise(F.concat(F.length(own), F.lit(":"), own))
+    return F.substring(F.unhex(F.sha2(F.concat(name, F.lit("\n"), text_or_empty(text_col)).cast("binary"), 256)), 1, 16)
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """doc_id, fingerprint and band keys of each row; both null for texts without words."""
+    """doc_id, key, fingerprint and band keys of each row; the last two null for texts without words."""
+    kind = docs.select(id_col).dtypes[0][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = DartMinHash(rows * bands)
 
-        def flush(ids: list, sets: list) -> pa.RecordBatch:
+        def signatures(part: pa.RecordBatch, sets: list) -> pa.RecordBatch:
             some = [s for s in sets if len(s[0])]
             keys = iter(band_keys(hasher.sign(some), rows)) if some else iter(())
             found = [next(keys) if len(s[0]) else None for s in sets]
             prints = [fingerprint(*s) if len(s[0]) else None for s in sets]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(prints, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "fp", "bands"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(prints, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "key", "fp", "bands"])
 
         for batch in batches:
-            ids: list = []
-            sets: list = []
-            many = 0
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = weighted(t.as_py(), size)
-                ids.append(i)
-                sets.append(s)
-                many += len(s[0])
+            lo, many, sets = 0, 0, []
+            for hi, t in enumerate(batch.column(2), 1):
+                sets.append(weighted(t.as_py(), size))
+                many += len(sets[-1][0])
                 if many >= BATCH_ELEMENTS:
-                    yield flush(ids, sets)
-                    ids, sets, many = [], [], 0
-            if ids:
-                yield flush(ids, sets)
+                    yield signatures(batch.slice(lo, hi - lo), sets)
+                    lo, many, sets = hi, 0, []
+            if sets:
+                yield signatures(batch.slice(lo), sets)
+
+    rows_ = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("text"))
+    return rows_.mapInArrow(run, f"doc_id {kind}, key binary, fp binary, bands array<bigint>")
+
+
+_LINK = "a binary, b binary, similarity double"
+
+
+def _link_batch(out: list[tuple[bytes, bytes, float]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.binary(), pa.float64()))], ["a", "b", "similarity"])
+
+
+def _similarity(x: np.ndarray, y: np.ndarray) -> float:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def hub_links(pairs: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """Links (a, b, similarity) among ``pairs`` (fp, hub); ``found``: fp, elements (binary of sorted 64-bit hashes), n.
+
+    A hub of many partners is dealt out to several tasks.
+    """
+    many = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("blocks"))
+    many = materialize(many, "hubs")
+    sides = pairs.join(many.where("blocks > 1").withColumnRenamed("hub", "large"), F.col("hub") == F.col("large"), "left")
+    sides = sides.select("hub", F.coalesce(F.pmod(F.xxhash64("fp"), F.col("blocks")), F.lit(0)).cast("int").alias("block"), F.lit(1).alias("side"), F.col("fp").alias("own"))
+    hubs = many.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), F.col("hub").alias("own"))
+    filled = sides.unionByName(hubs).join(found, F.col("own") == F.col("fp")).select("hub", "block", "side", "own", "elements")
+    dealt = filled.repartition("hub", "block").sortWithinPartitions("hub", "block", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = np.empty(0, np.uint64)
+        for batch in batches:
+            out = []
+            for i, (hub, side, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                elements_ = np.frombuffer(batch.column(4)[i].as_py(), np.uint64)
+                if side == 0:
+                    at = elements_
+                else:
+                    s = _similarity(at, elements_)
+                    if s >= least:
+                        out.append((own, hub, s))
+            if out:
+                yield _link_batch(out)
 
-    rows_ = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows_.mapInArrow(run, "doc_id bigint, fp binary, bands array<bigint>")
+    return dealt.mapInArrow(run, _LINK)
 
 
-def _links(a: list[tuple[int, np.ndarray]], b: list[tuple[int, np.ndarray]] | None, least: float) -> list[tuple[int, int, float]]:
-    """A spanning forest of the links within block ``a``, or between ``a`` and ``b``: (id, id, similarity)."""
+def _links(a: list[tuple[bytes, bytes, np.ndarray]], b: list[tuple[bytes, bytes, np.ndarray]] | None, least: float) -> list[tuple[bytes, bytes, float]]:
+    """Links that connect the nodes (name, component, elements) of block ``a``, or those of ``a`` with those of ``b``, as far as their components do not yet."""
     nodes = a if b is None else a + b
     n, cut = len(nodes), len(a)
-    size = np.array([len(x[1]) for x in nodes], np.float64)
-    if n == 2:
-        both = len(np.intersect1d(nodes[0][1], nodes[1][1], assume_unique=True))
-        s = both / (size[0] + size[1] - both)
-        return [(nodes[0][0], nodes[1][0], s)] if s >= least else []
+    size = np.array([len(x[2]) for x in nodes], np.float64)
     # Exact intersections: elements that two nodes share, as a sparse node-element list, counted node by node.
-    everything = np.concatenate([x[1] for x in nodes])
+    everything = np.concatenate([x[2] for x in nodes])
     owner = np.repeat(np.arange(n), size.astype(np.int64))
     order = np.argsort(everything, kind="stable")
     everything, owner = everything[order], owner[order]
@@ -218,7 +268,8 @@ def _links(a: list[tuple[int, np.ndarray]], b: list[tuple[int, np.ndarray]] | No
     starts = np.concatenate([[0], np.cumsum(df)])
     by_node = np.argsort(owner, kind="stable")
     node_terms = np.split(term[by_node], np.cumsum(np.bincount(owner, minlength=n))[:-1])
-    parent = list(range(n))
+    first: dict[bytes, int] = {}
+    parent = [first.setdefault(x[1], i) for i, x in enumerate(nodes)]
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -246,24 +297,29 @@ def _links(a: list[tuple[int, np.ndarray]], b: list[tuple[int, np.ndarray]] | No
     return out
 
 
-def verified_links(members: DataFrame, least: float) -> DataFrame:
-    """Links (a, b, similarity) of each bucket, exactly verified.
+def rest_links(members: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """Links between the components of each bucket; ``members``: bucket, fp, component; ``found`` as for ``hub_links``."""
+    sized = members.join(found.select("fp", "n"), "fp")
+    parts = materialize(sized.groupBy("bucket", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("elements")), "parts")
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("rows", "component")).alias("largest"), F.count("*").alias("many")).where("many > 1").select("bucket", F.col("largest.component").alias("largest"))
+    inside = F.col("component") == F.col("largest")
 
-    ``members``: bucket, doc_id, elements (binary of sorted 64-bit hashes), n.
-    """
-    size = members.groupBy("bucket").agg(F.sum("n").alias("total"))
-    size = materialize(size.select("bucket", F.ceil(F.col("total") / BLOCK_ELEMENTS).cast("int").alias("blocks")).where("blocks > 1"), "blocks")
-    own = members.join(size.withColumnRenamed("bucket", "large"), F.col("bucket") == F.col("large"), "left").select("bucket", "doc_id", "elements", F.coalesce("blocks", F.lit(1)).alias("blocks"))
-    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # Every pair of blocks is a task: a row goes to each pair that its block is in.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = own.select("bucket", "doc_id", "elements", "block", other)
-    tasks = tasks.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "elements")
-    dealt = tasks.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "block", "doc_id")
+    def blocks(of: Column) -> Column:
+        total = lambda c: F.coalesce(F.sum(F.when(of, F.col(c))), F.lit(0))
+        return F.ceil(F.greatest(total("rows") / BLOCK_ROWS, total("elements") / BLOCK_ELEMENTS)).cast("int")
+
+    # The blocks of the smaller components are numbered first, those of the largest after them.
+    cut = materialize(parts.join(largest, "bucket").groupBy(F.col("bucket").alias("b"), F.col("largest")).agg(blocks(~inside).alias("few"), blocks(inside).alias("more")), "cut")
+    own = members.join(cut, F.col("bucket") == F.col("b")).withColumn("block", F.when(inside, F.col("few") + F.pmod(F.xxhash64("fp"), F.col("more"))).otherwise(F.pmod(F.xxhash64("fp"), F.col("few"))).cast("int"))
+    # Every pair of blocks but those within the largest component is a task: a row goes to each pair that its block is in.
+    other = F.explode(F.sequence(F.lit(0), F.when(inside, F.col("few")).otherwise(F.col("few") + F.col("more")) - 1)).alias("other")
+    tasks = own.select("bucket", "block", "fp", "component", other)
+    tasks = tasks.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "fp", "component").join(found.select("fp", "elements"), "fp")
+    dealt = tasks.select("bucket", "lo", "hi", "block", "fp", "component", "elements").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "block", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(key: tuple, rows: list) -> list:
-            if len(rows) < 2:
+        def close(key: tuple | None, rows: list) -> list:
+            if len({r[2] for r in rows}) < 2:
                 return []
             if key[1] == key[2]:
                 return _links([r[1:] for r in rows], None, least)
@@ -271,65 +327,95 @@ def verified_links(members: DataFrame, least: float) -> DataFrame:
 
         key, rows, out = None, [], []
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns[:5]]
-            for i, (bucket, lo, hi, block, doc) in enumerate(zip(*cols)):
+            cols = [c.to_pylist() for c in batch.columns[:6]]
+            for i, (bucket, lo, hi, block, fp, component) in enumerate(zip(*cols)):
                 if (bucket, lo, hi) != key:
                     out += close(key, rows)
                     key, rows = (bucket, lo, hi), []
-                rows.append((block, doc, np.frombuffer(batch.column(5)[i].as_py(), np.uint64)))
+                rows.append((block, fp, component, np.frombuffer(batch.column(6)[i].as_py(), np.uint64)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similarity"])
+                yield _link_batch(out)
                 out = []
         out = close(key, rows)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similarity"])
+            yield _link_batch(out)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint, similarity double")
+    return dealt.mapInArrow(run, _LINK)
 
 
 def _with_elements(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, elements and their number of rows doc_id, text."""
+    """fp, elements and their number of rows fp, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 found = [elements(t.as_py(), size) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([e.tobytes() for e in found], pa.binary()), pa.array([len(e) for e in found], pa.int64())], ["doc_id", "elements", "n"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([e.tobytes() for e in found], pa.binary()), pa.array([len(e) for e in found], pa.int64())], ["fp", "elements", "n"])
 
-    return rows.mapInArrow(run, "doc_id bigint, elements binary, n bigint")
+    return rows.mapInArrow(run, "fp binary, elements binary, n bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id and class_id, the smallest doc_id of its near-duplicate class.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """doc_id, key, fp and ``first`` of each row of ``docs``.
 
-    Classes are the connected components of the pairs at ``similarity`` or more.
-    Rows of a null id are classes of their own, with a null class_id.
+    ``first`` (none, doc_id, key) is the row of the smallest id, nulls last, of
+    its near-duplicate class; it and fp are null for texts without words.
     """
     sig = materialize(signed(docs, id_col, text_col, size, rows, bands), "signed")
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    # Equal shingle multisets are one node, named by its smallest id.
-    nodes = sig.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    # Equal shingle multisets are one node, its text that of one of its rows.
+    nodes = sig.where("fp is not null").groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("bucket"))
+    keyed = nodes.select("fp", F.explode("bands").alias("bucket"))
     # Of buckets with the same members one is kept: their number and two sums of hashes tell sets apart.
     kept = (
         keyed.groupBy("bucket")
-        .agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"))
+        .agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(7))).alias("y"), F.min("fp").alias("hub"))
         .where("m > 1")
-        .groupBy("m", "x", "y")
+        .groupBy("m", "x", "y", "hub")
         .agg(F.min("bucket").alias("kept"))
-        .select("kept")
+        .select("kept", "hub", "m")
     )
     kept = materialize(kept, "buckets")
-    members = materialize(keyed.join(kept, F.col("bucket") == F.col("kept"), "left_semi"), "members")
-    wanted = materialize(members.select(F.col("node").alias("wanted")).distinct(), "wanted")
+    members = materialize(keyed.join(kept, F.col("bucket") == F.col("kept")).select("bucket", "fp", "hub", "m"), "members")
+    wanted = nodes.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first.key").alias("wanted"))
+    wanted = materialize(wanted, "wanted")
+    texts = docs.select(row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("text")).dropDuplicates(["key"])
     # The list grows with the input, so the texts are shuffled at every size.
-    found = _with_elements(texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left_semi").dropDuplicates(["doc_id"]), size)
-    found = materialize(found, "elements")
-    filled = members.join(found, F.col("node") == F.col("doc_id")).select("bucket", "doc_id", "elements", "n")
-    links = materialize(verified_links(filled, similarity), "links")
+    found = materialize(_with_elements(texts.join(wanted.hint("merge"), F.col("key") == F.col("wanted")).select("fp", "text"), size), "elements")
+    links = materialize(hub_links(members.where("fp <> hub").select("fp", "hub").distinct(), found, similarity), "links")
+    label = materialize(components(links.select("a", "b")), "label")
+    named = members.where("m > 2").join(label, F.col("fp") == F.col("node"), "left").select("bucket", "fp", F.coalesce("component", "fp").alias("component"))
+    more = materialize(rest_links(materialize(named, "named"), found, similarity), "more-links")
+    if more.limit(1).count():
+        label = materialize(components(links.unionByName(more).select("a", "b")), "label")
     discard(members, wanted, found, kept)
-    label = components(links.select("a", "b")).select(F.col("node").alias("linked"), "component")
-    classes = materialize(nodes.select(F.col("fp").alias("own_fp"), "node").join(label, F.col("node") == F.col("linked"), "left").select("own_fp", F.coalesce("component", "node").alias("component")), "classes")
-    return sig.select("doc_id", "fp").join(classes, F.col("fp") == F.col("own_fp"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
+    linked = nodes.join(label, F.col("fp") == F.col("node")).select("fp", "component", "first")
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    least = linked.join(least, "component").select(F.col("fp").alias("linked"), "least")
+    named = materialize(nodes.join(least, F.col("fp") == F.col("linked"), "left").select(F.col("fp").alias("node"), F.coalesce("least", "first").alias("first")), "classes")
+    discard(nodes)
+    return sig.select("doc_id", "key", "fp").join(named, F.col("fp") == F.col("node"), "left").select("doc_id", "key", "fp", "first")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """One row per row of ``docs``: doc_id and class_id, the smallest doc_id of its near-duplicate class.
+
+    Classes are the connected components of the pairs at ``similarity`` or more.
+    """
+    found = classes(docs, id_col, text_col, similarity, size, rows, bands)
+    return found.select("doc_id", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each near-duplicate class, with all its columns: that of the smallest id, nulls last.
+
+    All rows whose text has no words stay.  Of rows equal in id and text one stays; which one is not defined.
+    """
+    kept = classes(docs, id_col, text_col).where("fp is not null and first.key = key").select(F.col("key").alias("_kept")).distinct()
+    kept = materialize(kept, "kept")
+    worded = F.regexp_like(text_or_empty(text_col), F.lit(r"[0-9A-Za-z[^\x00-\x7F]]"))
+    own = docs.where(worded).withColumn("_key", row_key(id_col, text_col)).dropDuplicates(["_key"])
+    # The list grows with the input, so the rows are shuffled at every size.
+    first = own.join(kept.hint("merge"), F.col("_key") == F.col("_kept"), "left_semi").select(*docs.columns)
+    return first.unionByName(docs.where(~worded))

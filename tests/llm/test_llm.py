@@ -186,17 +186,43 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_classes(rows)
 
 
-def test_near_duplicates_blocks(spark, monkeypatch):
-    """Buckets cut into many blocks give the same classes."""
-    monkeypatch.setattr(dart_minhash, "BLOCK_ELEMENTS", 300)
+@pytest.mark.parametrize("settings", [{"BLOCK_ELEMENTS": 300}, {"HUB_ROWS": 3, "BLOCK_ROWS": 4}, {"HUB_ROWS": 1, "BLOCK_ROWS": 1}])
+def test_near_duplicates_blocks(spark, monkeypatch, settings):
+    """Buckets cut into many blocks give the same classes, however the links lie within a bucket."""
+    for k, v in settings.items():
+        monkeypatch.setattr(dart_minhash, k, v)
+    r = random.Random(9)
     rows = [(i, " ".join(f"x{j}" if j != i else "y" for j in range(60))) for i in range(25)]
+    for k in range(3):  # families whose members reach each other only through others
+        t = [f"f{k}w{j}" for j in range(50)]
+        for i in range(12):
+            t = list(t)
+            t[r.randrange(50)] = f"new{k}-{i}"
+            rows.append((100 * (k + 1) + i, " ".join(t)))
     got = {x.doc_id: x.class_id for x in dart_minhash.near_duplicates(frame(spark, rows)).collect()}
     assert got == brute_classes(rows)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_near_duplicates_of_shared_and_missing_ids(spark, turned):
+    """Classes are of texts: an id that has two texts, and rows without an id, neither lose links nor make false ones."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = b.replace("b30", "other")
+    rows = [(1, a), (1, b), (3, near), (4, "quite another text that stands alone here"), (None, a + " !"), (None, "without an id and alone"), (5, "quite another text that stands alone there"), (None, None), (None, "")]
+    df = frame(spark, rows[::-1] if turned else rows).repartition(3)
+    got = collections.Counter((r.doc_id, r.class_id) for r in dart_minhash.near_duplicates(df).collect())
+    assert got == collections.Counter([(1, 1), (1, 1), (3, 1), (4, 4), (None, 1), (None, None), (5, 5), (None, None), (None, None)])
+    kept = collections.Counter((r.doc_id, r.text) for r in dart_minhash.keep_one(df).collect())
+    assert kept == collections.Counter([(1, a), (1, b), rows[3], rows[5], rows[6], (None, None), (None, "")])
+    named = dart_minhash.near_duplicates(df.selectExpr("concat('d', doc_id) doc_id", "text")).collect()
+    assert collections.Counter(r.class_id for r in named) == {"d1": 4, "d4": 1, "d5": 1, None: 3}
+
+
 def test_near_duplicates_odd(spark, odd):
     got = sorted(((str(r.doc_id), r.class_id) for r in dart_minhash.near_duplicates(odd).collect()), key=str)
     assert len(got) == len(ODD) and dict(got)["5"] == 4 and dict(got)["1"] == 1 and ("None", None) in got
+    kept = dart_minhash.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "6", "7", "None"]
     assert dart_minhash.near_duplicates(empty(spark)).count() == 0
 
 
