@@ -3,7 +3,8 @@
 Stages take (session, documents, folder of tables) and return a frame that is
 written as Parquet and read again as the next stage's documents.  All but the last
 return the columns of documents.  Null texts count as empty throughout; every
-stage works on all rows that its predecessor kept.
+stage works on all rows that its predecessor kept, and decides about each row by its
+own text, so ids may be null or shared.
 """
 
 from __future__ import annotations
@@ -18,22 +19,18 @@ from lexloom.llm.queries import _table, _tokenizer
 from lexloom.llm.runtime import materialize, new_path, text_or_empty
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids`` (column ``kept``).  The list grows with the input, so the rows are shuffled at every size."""
-    return docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["kept"]), "left_semi")
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     return quality.keep(docs, quality.fit_from(docs, _table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that of the smallest doc_id; rows without an id stay."""
-    classes = dart_minhash.near_duplicates(docs)
-    kept = materialize(classes.where("doc_id = class_id").select(F.col("doc_id").alias("kept")).distinct(), "first")
-    first = _only(docs.where("doc_id is not null"), kept).dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null"))
+    """One row of each near-duplicate class of texts, that of the smallest doc_id, nulls last.
+
+    Rows that share an id but not their text, and rows without an id, are each
+    classed by their own text; rows without words all stay.
+    """
+    return dart_minhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
