@@ -89,10 +89,14 @@ def marginals(model: Crf, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def viterbi(model: Crf, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The most likely labels; among equals the smaller label."""
+    """The most likely labels of rows of features; among equals the smaller label."""
+    return decode(model, (x @ model.emit.astype(x.dtype)).astype(np.float64), lengths)
+
+
+def decode(model: Crf, emit: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The most likely labels given the emission scores of every step; among equals the smaller label."""
     lengths = np.asarray(lengths)
-    out = np.zeros(len(x), np.int64)
-    emit = (x @ model.emit.astype(x.dtype)).astype(np.float64)
+    out = np.zeros(len(emit), np.int64)
     starts = np.cumsum(lengths) - lengths
     for batch in _batches(lengths):
         batch = batch[lengths[batch] > 0]

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.components import components
-from lexloom.llm.runtime import discard, materialize, text_or_empty
+from lexloom.llm.runtime import discard, materialize, slices, text_or_empty
 from lexloom.llm.textwords import elements, mix, shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -50,8 +50,8 @@ K = ROWS * BANDS
 HUB_ROWS = 256
 #: Nodes and elements of a block of the second round; two blocks are in memory at a time.
 BLOCK_ROWS, BLOCK_ELEMENTS = 1024, 1_000_000
-#: Texts signed at a time: this many elements.
-BATCH_ELEMENTS = 80_000
+#: Texts signed at a time: this many elements; texts turned into elements at a time: this many bytes.
+BATCH_ELEMENTS, BATCH_BYTES = 80_000, 4 << 20
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -348,8 +348,7 @@ def _with_elements(rows: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, 1, BATCH_BYTES):
                 found = [elements(t.as_py(), size) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([e.tobytes() for e in found], pa.binary()), pa.array([len(e) for e in found], pa.int64())], ["fp", "elements", "n"])
 

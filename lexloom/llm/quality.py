@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm import crf
-from lexloom.llm.runtime import held_out, labelled_sample, text_or_empty
+from lexloom.llm.runtime import held_out, labelled_sample, slices, text_or_empty
 from lexloom.llm.textwords import _RINV, _R, _VALUE, _powers, mix
 
 #: Labelled documents of each class that a model is fitted on, and the longest text among them.
@@ -31,7 +31,8 @@ FIT_PER_CLASS, FIT_CHARS = 400, 20_000
 RELABEL_ROUNDS = 3
 #: Scores from which a document counts as good.
 GOOD_FROM = 0.3
-BATCH_BYTES = 2 << 20
+#: Text whose lines are in memory at a time.
+BATCH_BYTES = 1 << 20
 
 _CLASS = np.zeros(256, np.uint8)  # 0: other symbols
 for _c in range(256):
@@ -177,17 +178,10 @@ def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[float] = []
-            texts: list[str] = []
-            many = 0
-            for t in batch.column(1):
-                texts.append(t.as_py())
-                many += len(texts[-1])
-                if many > BATCH_BYTES:
-                    out += (model.scores(texts) if model else np.ones(len(texts))).tolist()
-                    texts, many = [], 0
-            out += (model.scores(texts) if model else np.ones(len(texts))).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
+            for part in slices(batch, 1, BATCH_BYTES):
+                texts = part.column(1).to_pylist()
+                found = model.scores(texts) if model else np.ones(len(texts))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
 
@@ -198,8 +192,7 @@ def keep(docs: DataFrame, model: QualityModel | None, text_col: str = "text", le
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, at, BATCH_BYTES):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(model.scores(texts) >= least)) if model else part
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +15,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor shares (``spark.checkpoint.dir``).
 
-    Where the session names none, as in tests, a temporary one is set.
+    Where a local session names none, as in tests, a temporary one is set; a cluster must name one.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -51,6 +56,19 @@ def discard(*tables: DataFrame) -> None:
         target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int, most_rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that hold about ``most_bytes`` of the column's text each; a longer text stands alone."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lo = many = 0
+    for i, n in enumerate(size.tolist()):
+        if i > lo and (many + n > most_bytes or i - lo >= most_rows):
+            yield batch.slice(lo, i - lo)
+            lo, many = i, 0
+        many += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
 def text_or_empty(name: str) -> Column:
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -65,13 +83,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """A bounded sample of labelled texts to fit a classifier on.
 
     Of each class the ``per_class`` rows of ``labels`` that come first in hash
-    order and are not held out; texts over ``max_chars`` are passed over.  The
-    sample is bounded whatever the size of the input; scoring is not.
+    order and are not held out; texts over ``max_chars`` are passed over.  An id
+    with both labels counts as 1, and of several texts of one id the smallest is
+    taken.  The sample is bounded whatever the size of the input; scoring is not.
     """
     ids = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("doc_id"))
     )
+    kind = labels.schema["doc_id"].dataType.simpleString()
     order = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"))
     picked = {}
     for y in (0, 1):
@@ -80,13 +100,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     if not picked:
         return []
     spark = docs.sparkSession
-    chosen = spark.createDataFrame(sorted(picked.items()), "doc_id bigint, y int")
+    chosen = spark.createDataFrame(sorted(picked.items()), f"doc_id {kind}, y int")
     rows = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty("text").alias("text"))
+        docs.select(F.col("doc_id").cast(kind).alias("doc_id"), text_or_empty("text").alias("text"))
         .where(F.length("text") <= max_chars)
         .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "text", "y")
+        .groupBy("doc_id", "y")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     return [(r["text"], r["y"]) for r in sorted(rows, key=lambda r: r["doc_id"])]

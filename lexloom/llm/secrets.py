@@ -15,7 +15,6 @@ ends exclusive.  Matches of one kind are leftmost and do not overlap; kinds may.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +35,11 @@ SEGMENT_BYTES = 4 << 20
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: matches of ``pattern`` whose ``group`` has at least ``least`` characters."""
+    """A kind of secret: matches of ``pattern`` whose ``group`` has at least ``least`` characters; ``start`` is the group that its span begins with.
+
+    Patterns should take time in proportion to the text: a run that failed once
+    must not be tried again from each of its characters.
+    """
 
     kind: str
     pattern: str
@@ -44,6 +47,7 @@ class Rule:
     least: int = 1
     fold: bool = False
     base: bool = False
+    start: int = 0
 
 
 RULES = (
@@ -53,8 +57,10 @@ RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
     Rule("github", r"(?:gh[pousr]_|github_pat_)[A-Za-z0-9_]+", 0, 36),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@", 0, 10, True),
+    # Of a run only its first eyJ is tried: what follows the run is the same for all of them.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))(eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)", 1, 30, start=1),
+    # Names of schemes are short; a longer run counts from its last 32 characters.
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,31}+://[^\s:/@]++:[^\s:/@]++@", 0, 10, True),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
 )
 
@@ -238,7 +244,7 @@ class Scanner:
                 for m in pattern.finditer(texts[i]):
                     start, end = m.span(rule.group)
                     if end - start >= rule.least:
-                        out[i].append((m.start(), k, m.end()))
+                        out[i].append((m.start(rule.start), k, m.end()))
         for spans in out:
             spans.sort()
         return out
@@ -304,6 +310,3 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
 
     return docs.mapInArrow(run, docs.schema)
 
-
-def digest_sha256(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()

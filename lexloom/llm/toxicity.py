@@ -1,16 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on toxic
-text.  A text is cut into overlapping windows of a few words, each window is
-compressed with either dictionary, and the difference of the two lengths says
-how much better toxic text explains it.  The largest differences of a text are
-calibrated to a probability on the labelled sample.
+There are two zstandard dictionaries, one of ordinary and one of toxic text.  A text is
+cut into overlapping windows of a few words, each window is compressed with either, and
+the difference of the two lengths says how much better toxic text explains it.  The
+largest differences of a text and the shares of its windows that shrink by some bytes
+are calibrated to a probability on the labelled sample.
 
 Only documents are labelled, and most words of a toxic document are ordinary.  The
-toxic dictionary is therefore trained on the passages of toxic documents that
-hold byte sequences frequent there and rare elsewhere, counted by distinct
-contexts so that copies of one document count once.  It ends with the ordinary
-dictionary, at the same distances, so that ordinary windows compress alike under both.
+toxic dictionary therefore consists of the passages of toxic documents that hold byte
+sequences frequent there and rare elsewhere, counted by distinct contexts so that copies
+of one document count once.  The ordinary dictionary is trained by zstandard; the toxic
+one is given to it as content, since the trainer drops most of so few short passages
+(README).  It is preceded by the ordinary dictionary, so that ordinary windows compress
+nearly alike under both.
 
 Defined results: null and empty texts have no windows; their differences are 0.
 Texts are scored whole.
@@ -30,19 +32,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.quality import logistic
-from lexloom.llm.runtime import held_out, labelled_sample, text_or_empty
+from lexloom.llm.runtime import held_out, labelled_sample, slices, text_or_empty
 from lexloom.llm.textwords import mix
 
 #: Labelled documents of each class that a model is fitted on, and the longest text among them.
 FIT_PER_CLASS, FIT_CHARS = 1200, 20_000
+#: Text scored at a time.
+BATCH_BYTES = 4 << 20
 #: Words of a window, and from one window to the next.
 WINDOW, STRIDE = 6, 4
 ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 8 << 10
-#: Bytes of the ordinary dictionary that each window is preceded by.
-KNOWN = 48
+#: Bytes of the ordinary dictionary that each window is preceded by, and what follows it: zstandard seeks no matches in the last bytes.
+KNOWN, TAIL = 48, bytes(range(1, 13))
 #: Bytes of sequences, how surprising (in nats) their contexts in toxic text must be if both texts were alike, and how much more frequent they must be there.
 GRAMS, LEAST_SURPRISE, LEAST_RATIO = (5, 6, 7, 8), 21.0, 6.0
 LARGEST = 3
+#: Differences whose share of the windows is a feature, and what the shares are multiplied by (up to 1).
+STEPS = ((2, 3), (3, 5), (5, 10))
 
 
 def _spaced(text: str) -> bytes:
@@ -142,16 +148,22 @@ class ToxicityModel:
 
     @cached_property
     def _both(self) -> tuple:
-        return self._compressor(self.ordinary).compress, self._compressor(self.toxic + self.ordinary).compress
+        return self._compressor(self.ordinary).compress, self._compressor(self.ordinary + self.toxic).compress
 
-    def features(self, text: str) -> list[float]:
-        """The largest length differences, and the number of windows."""
+    def differences(self, text: str) -> list[int]:
+        """How many bytes shorter each window is with the toxic dictionary, in order."""
         one, two = self._both
-        found = windows(text)
         known = self.ordinary[-KNOWN:]  # else a window that hardly shrinks is stored as it is, and its length says nothing
-        gain = sorted([len(one(known + w)) - len(two(known + w)) for w in found], reverse=True)[:LARGEST] + [0] * LARGEST
-        n = float(np.log1p(len(found)))
-        return [*gain[:LARGEST], n, gain[0] * n / 10, 1.0]
+        return [len(one(w)) - len(two(w)) for w in (known + w + TAIL for w in windows(text))]
+
+    def features(self, text: str) -> list[float]:
+        """The largest differences, the number of windows, and how many of them shrink by how much."""
+        found = np.array(self.differences(text), np.float64)
+        n = len(found)
+        largest = [*np.sort(found)[::-1][:LARGEST], *[0.0] * LARGEST][:LARGEST]
+        size = float(np.log1p(n))
+        shares = [min(1.0, (found >= least).sum() / max(1, n) * times) for least, times in STEPS]
+        return [*largest, size, largest[0] * size / 10, *shares, float(np.log1p((found >= 3).sum())), float(found.clip(0).sum() / max(1, n)), 1.0]
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability that each text is toxic."""
@@ -167,7 +179,7 @@ def fit(rows: list[tuple[str, int]], share_toxic: float | None = None) -> Toxici
         return None
     passages = toxic_passages([_spaced(t) for t in toxic], [_spaced(t) for t in ordinary])
     content = b"".join(p for p, n in sorted(passages.items(), key=lambda x: (x[1], x[0])) if n >= min(3, max(passages.values())))
-    model = ToxicityModel(_ordinary_dictionary(ordinary), content[-TOXIC_BYTES:], np.zeros(LARGEST + 3))
+    model = ToxicityModel(_ordinary_dictionary(ordinary), content[-TOXIC_BYTES:], np.zeros(LARGEST + len(STEPS) + 5))
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     share = y.mean() if share_toxic is None else min(max(share_toxic, 0.01), 0.99)
     x = np.array([model.features(t) for t in toxic + ordinary])
@@ -188,8 +200,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, 1, BATCH_BYTES):
                 texts = part.column(1).to_pylist()
                 found = model.scores(texts) if model else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])

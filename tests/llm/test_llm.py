@@ -125,6 +125,52 @@ def test_trigram_queries_are_necessary():
         assert [[(a, b) for a, _, b in x] for x in s.scan(texts)] == [[m.span() for m in re.finditer(pattern, t)] for t in texts]
 
 
+def test_secrets_take_time_in_proportion():
+    """Runs that rules could try again from each of their characters."""
+    import time
+
+    own = secrets.scanner(secrets.RULES)
+    for t in ("a" * 1_000_000 + " http://x", "eyJ" * 300_000, "eyJa." * 200_000 + "eyJb.", "a1b2" * 250_000 + " ://", "token" + " " * 1_000_000, "-----BEGIN " * 90_000, "xoxb-" * 200_000, "a://b:" * 150_000):
+        start = time.time()
+        own.scan([t])
+        assert time.time() - start < 5
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abc_def-123456"
+    found = own.scan([f"x {jwt} git+ssh://bob:pw@host ab{jwt}"])[0]
+    assert [(secrets.RULES[k].kind, s, e) for s, k, e in found] == [("jwt", 2, 57), ("url_login", 58, 75), ("jwt", 82, 137)]
+
+
+def test_slices_bound_the_text_in_memory():
+    import pyarrow as pa
+
+    from lexloom.llm.runtime import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 100] * 50 + [None, "y" * 5000, ""])], ["t"])
+    parts = list(slices(batch, 0, 1000, 20))
+    assert sum(p.num_rows for p in parts) == 53 and pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    assert max(p.num_rows for p in parts) <= 20 and all(sum(len(t or "") for t in p.column(0).to_pylist()) <= 1000 or p.num_rows == 1 for p in parts)
+    assert list(slices(batch.slice(0, 0), 0, 10)) == []
+
+
+def test_toxicity_features_equal_plain_compression():
+    """Every feature from the two dictionaries alone, window by window."""
+    import zstandard
+
+    rows = [(f"good plain words number {i} here and there " * 3, 0) for i in range(40)] + [(f"plain words blorgface number {i} dunderhat here " * 2, 1) for i in range(40)]
+    model = toxicity.fit(rows)
+    text = "some words blorgface here and there " * 4
+    one, two = (toxicity.ToxicityModel._compressor(d) for d in (model.ordinary, model.ordinary + model.toxic))
+    tokens = text.split()
+    plain = [" " + " ".join(tokens[i : i + toxicity.WINDOW]) + " " for i in range(0, max(1, len(tokens) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)]
+    pad = lambda w: model.ordinary[-toxicity.KNOWN :] + w.encode() + toxicity.TAIL
+    want = [len(one.compress(pad(w))) - len(two.compress(pad(w))) for w in plain]
+    assert model.differences(text) == want and max(want) > 0
+    for w in plain:  # both are true compressions
+        d = zstandard.ZstdCompressionDict(model.ordinary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        assert zstandard.ZstdDecompressor(dict_data=d, format=zstandard.FORMAT_ZSTD1_MAGICLESS).decompress(one.compress(pad(w)), max_output_size=10_000) == pad(w)
+    f = model.features(text)
+    assert f[:3] == sorted(want)[::-1][:3] and f[-2] == pytest.approx(sum(x for x in want if x > 0) / len(want))
+
+
 def test_secrets_frames(spark, odd):
     found = {str(r.doc_id): r.found for r in secrets.find_secrets(odd).collect()}
     assert all(v == [] for v in found.values())
@@ -383,6 +429,22 @@ def test_quality_held_out():
     assert quality.fit([("a", 1)]) is None
 
 
+def test_quality_keep_is_bounded_and_score_is_the_length_weighted_marginal(spark):
+    """The score from the chain's marginals line by line, and keep by the score."""
+    rows = [("good clean line of plain words\nand another good one", 1), ("$$$ ### 123 !!!\n@@@ %%% 999 ***", 0)] * 30
+    model = quality.fit(rows)
+    texts = ["good clean line of plain words\n$$$ ### 123 !!!\nplain words again here", "", "@@@ %%% 999"]
+    for t, s in zip(texts, model.scores(texts)):
+        x, lines, _ = quality.line_features([t])
+        good = crf.marginals(model.chain, x, lines)[:, 1]
+        size = np.array([len(line.encode()) + 1 for line in t.split("\n")])
+        mean = np.clip((size * good).sum() / size.sum(), 1e-4, 1 - 1e-4)
+        assert s == pytest.approx(1 / (1 + np.exp(-np.clip(np.array([np.log(mean / (1 - mean)), mean, 1.0]) @ model.scale, -30, 30))), rel=1e-4)
+    docs = frame(spark, [(i, t) for i, t in enumerate(texts)] + [(9, None)])
+    want = {i for i, s in zip((0, 1, 2, 9), model.scores([*texts, ""])) if s >= quality.GOOD_FROM}
+    assert {r.doc_id for r in quality.keep(docs, model).collect()} == want
+
+
 def test_quality_and_toxicity_frames(spark, odd):
     docs = frame(spark, [(i, t) for i, (t, _) in enumerate(labelled(GOOD, BAD, 60))])
     labels = frame(spark, [(i, y, 1 - y) for i, (_, y) in enumerate(labelled(GOOD, BAD, 60))], "doc_id bigint, quality int, toxic int")
@@ -431,6 +493,43 @@ def test_extraction():
     assert own.texts([PAGE, "", "<", "<p>" * 3000]) == ["Head & line First bold text. Second <one> here.", "", own.texts(["<"])[0], ""]
 
 
+#: Pages written by hand, with names and layouts that the generator does not know, and their main text.
+FOREIGN = [
+    ("<p>only</p>", "only"),
+    ("<html><body><p>First paragraph of a bare page.</p><p>Second one here.</p></body></html>", "First paragraph of a bare page. Second one here."),
+    ("<div class=x1><a href=/>Home</a> <a href=/b>News</a></div><div class=x2><h1>Big headline</h1><p>This is the first paragraph of the story.</p><p>And this is the second one, a bit longer than the first.</p><p>Last words.</p></div><footer class=x5>© 2020 | All rights</footer>", "Big headline This is the first paragraph of the story. And this is the second one, a bit longer than the first. Last words."),
+    ("<body><nav class=navi><a href=/>Start</a><a href=/s>Sport</a></nav><div class=artikel><h1>Titel hier</h1><p>Der erste Absatz des Artikels ist hier.</p><p>Der zweite Absatz folgt danach, etwas länger.</p><p>Hier endet die kurze Geschichte.</p></div><footer class=fuss>© Zeitung | Impressum</footer></body>", "Titel hier Der erste Absatz des Artikels ist hier. Der zweite Absatz folgt danach, etwas länger. Hier endet die kurze Geschichte."),
+]
+
+
+@pytest.mark.parametrize("html, text", FOREIGN)
+def test_extraction_of_unfamiliar_pages(html, text):
+    assert html_extract.extractor().texts([html]) == [text]
+
+
+@pytest.mark.parametrize("html", ["<div>x" * 20_000, "".join(f"<div class=c{i}>x" for i in range(20_000)), "<font>" * 20_000 + "<p>a" * 20_000, "<b>" * 20_000 + "</i>x</foo>" * 20_000, "<!--" * 40_000, "<a " * 20_000])
+def test_deep_and_broken_pages(html):
+    """Parsed in time and memory in proportion to the page."""
+    import time
+    import tracemalloc
+
+    start = time.time()
+    html_extract.leaf_blocks(html)
+    assert time.time() - start < 10
+    tracemalloc.start()
+    html_extract.leaf_blocks(html[: len(html) // 4])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_emissions_are_the_matrix_product():
+    own = html_extract.extractor()
+    for html in (PAGE, html_pages.labelled_page(60_001)[0]):
+        blocks = html_extract.leaf_blocks(html, own.root)
+        own.mark(blocks)
+        assert np.allclose(own.emissions(blocks), own.matrix(blocks) @ own.chain.emit, atol=1e-4)
+
+
 def test_extraction_held_out():
     own, right, total = html_extract.extractor(), 0, 0
     for seed in range(50_000, 50_060):
@@ -438,6 +537,7 @@ def test_extraction_held_out():
         y = [html_pages.MAIN_MARK in b.text for b in blocks]
         for b in blocks:
             b.text = b.text.replace(html_pages.MAIN_MARK, "").replace(html_pages.REST_MARK, "") or " "
+        own.mark(blocks)
         z = crf.viterbi(own.chain, own.matrix(blocks), np.array([len(blocks)]))
         right += int((z == np.array(y)).sum())
         total += len(y)
