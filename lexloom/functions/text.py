@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 #: Which fields may hold a value, in order of preference.
 FIELDS = {
@@ -79,6 +80,24 @@ def first_non_empty(columns: Sequence[Column | str]) -> Column:
     return F.coalesce(*parts, F.lit("")) if parts else F.lit("")
 
 
+def to_text(df: DataFrame, x: Column) -> Column:
+    """A value as text: null is empty, text is trimmed, lists, maps and structs are JSON with their keys in order, anything else as it prints."""
+    kind = df.select(x.alias("_x")).schema[0].dataType
+
+    def ordered(c: Column, t: S.DataType) -> Column:
+        if isinstance(t, S.StructType):
+            return F.when(c.isNotNull(), F.struct(*(ordered(c[n], t[n].dataType).alias(n) for n in sorted(t.names))))
+        if isinstance(t, S.MapType):
+            return F.map_from_entries(F.array_sort(F.map_entries(c)))
+        if isinstance(t, S.ArrayType) and isinstance(t.elementType, (S.StructType, S.MapType, S.ArrayType)):
+            return F.transform(c, lambda e: ordered(e, t.elementType))
+        return c
+
+    if isinstance(kind, (S.StructType, S.MapType, S.ArrayType)):
+        return F.coalesce(F.to_json(ordered(x, kind)), F.lit(""))
+    return F.coalesce(F.trim(x.cast("string")), F.lit(""))
+
+
 def first_key(columns: Sequence[str]) -> Column:
     """Name of the first column that is not blank, or ``<inferred>``."""
     parts = [F.when(F.trim(F.col(c).cast("string")) != "", F.lit(c)) for c in columns]

@@ -94,11 +94,16 @@ def merge_hf(rows: DataFrame) -> DataFrame:
     return rows.select("*", text.alias("merged_text"), T.parse_score(raw).alias("merged_score"), validation.reject_reason(("missing_text", text == ""), ("missing_score", raw == ""), ("bad_score", T.parse_score(raw).isNull())).alias("drop_reason"))
 
 
-def compile_sft(labels: DataFrame, inputs: DataFrame, key: str, least_confidence: float) -> DataFrame:
-    """Teacher labels joined with their inputs: the split is checked first, then confidence, then inputs and outputs deduplicated greedily."""
+def sft_candidates(labels: DataFrame, inputs: DataFrame, key: str, least_confidence: float) -> DataFrame:
+    """Teacher labels joined with their inputs, and the first reason against each."""
     j = labels.join(inputs, key, "left")
     reason = validation.reject_reason(("missing_input", F.col("input").isNull()), ("invalid_split", ~F.col("split").isin(*splits.SPLITS)), ("low_confidence", F.col("confidence") < least_confidence), ("empty_output", F.coalesce(F.trim("output"), F.lit("")) == ""))
-    ok = j.withColumn("reason", reason).where("reason is null").drop("reason")
+    return j.withColumn("reason", reason)
+
+
+def compile_sft(labels: DataFrame, inputs: DataFrame, key: str, least_confidence: float) -> DataFrame:
+    """Teacher labels joined with their inputs: the split is checked first, then confidence, then inputs and outputs deduplicated greedily."""
+    ok = sft_candidates(labels, inputs, key, least_confidence).where("reason is null").drop("reason")
     return dedup.two_key_greedy(ok, T.sha256_text("input"), T.sha256_text("output"), key)
 
 

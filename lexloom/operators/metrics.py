@@ -108,6 +108,28 @@ def temperature_fit(df: DataFrame, confidence: str, target: str, *by: str, lowes
     return scored.groupBy(*by).agg(F.min_by("temperature", F.struct(F.round("nll", 12), "id")).alias("temperature"), F.min(F.round("nll", 12)).alias("nll"))
 
 
+def calibration_summary(df: DataFrame, confidence: str, targets: dict[str, Column], *by: str) -> DataFrame:
+    """Calibration before and after a fitted temperature, by group and target.
+
+    ``both`` is the mean of a row's targets that are there; rows without a target do not count for it.
+    """
+    there = sum((F.when(t.isNotNull(), 1).otherwise(0) for t in targets.values()), F.lit(0))
+    mean = F.when(there > 0, sum((F.coalesce(t.cast("double"), F.lit(0.0)) for t in targets.values()), F.lit(0.0)) / there)
+    every = F.array(*(F.struct(F.lit(k).alias("target"), t.cast("double").alias("t")) for k, t in [*targets.items(), ("both", mean)]))
+    rows = df.select(*by, F.col(confidence).alias("c"), F.explode(every).alias("x")).select(*by, "x.target", "c", "x.t").where("c is not null and t is not null")
+    keys = [*by, "target"]
+    fitted = temperature_fit(rows, "c", "t", *keys)
+    after = rows.join(fitted, keys).withColumn("q", T.sigmoid(T.logit(F.col("c")) / F.col("temperature")))
+    c, t = F.col("c"), F.col("t")
+
+    def gap(frame: DataFrame, column: str, name: str) -> DataFrame:
+        return ece(reliability(frame, F.col(column), t, *keys), *keys).withColumnRenamed("ece", name)
+
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("c").alias("mean_confidence"), F.avg("t").alias("mean_target"), brier(c, t).alias("brier_before"), overconfidence(c, t).alias("overconfident_before"))
+    then = after.groupBy(*keys).agg(F.first("temperature").alias("temperature"), brier(F.col("q"), t).alias("brier_after"), overconfidence(F.col("q"), t).alias("overconfident_after"))
+    return out.join(then, keys).join(gap(rows, "c", "ece_before"), keys).join(gap(after, "q", "ece_after"), keys)
+
+
 def sign_test(positive: int, total: int) -> float | None:
     """Exact two-sided p of so many positives at even odds."""
     if total <= 0:

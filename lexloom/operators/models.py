@@ -38,6 +38,20 @@ def required_join(inputs: DataFrame, predictions: DataFrame, key: str, order: st
     return both.withColumn(key, F.when(F.col("_met"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no prediction for "), F.col(key).cast("string"))).cast(inputs.schema[key].dataType))).drop("_met")
 
 
+def positional(left: DataFrame, right: DataFrame, index: str, digest: str) -> DataFrame:
+    """Rows of two tables zipped by an explicit row number, and whether their digests differ; a row without a partner is no mismatch."""
+    r = right.select(F.col(index), F.col(digest).alias("right_sha"))
+    z = left.select(F.col(index), F.col(digest).alias("left_sha")).join(r, index, "full")
+    return z.withColumn("mismatch", F.coalesce(F.col("left_sha") != F.col("right_sha"), F.lit(False)))
+
+
+def benchmark_tasks(joined: DataFrame, model: str, task: str, measures: dict[str, Column], scales: dict[str, float]) -> DataFrame:
+    """Mean of each measure by model and task, and their mean as ``overall``; a measure with a scale counts as 1 less its share of it, at least 0."""
+    m = joined.groupBy(model, task).agg(F.count("*").alias("n"), *(F.avg(c).alias(k) for k, c in measures.items()))
+    parts = [F.greatest(F.lit(0.0), 1 - F.col(k) / scales[k]) if k in scales else F.coalesce(k, F.lit(0.0)) for k in measures]
+    return m.withColumn("overall", sum(parts, F.lit(0.0)) / len(parts))
+
+
 def error_buckets(errors: DataFrame, model: str) -> DataFrame:
     names = ("exact", "off_by_1", "off_by_2_to_threshold", "severe", "unavailable")
     return errors.groupBy(model).agg(F.count("*").alias("n"), *(F.count_if(F.col("bucket") == b).alias(b) for b in names))

@@ -170,6 +170,21 @@ def judge_scores(text: Column, criteria: Sequence[str], sections: Sequence[str])
     return F.struct(T.clamp(T.word_count(text) / 120.0).alias("clarity"), share(criteria).alias("criteria"), share(sections).alias("completeness"), structure.alias("structure"))
 
 
+#: Words that tie a reason to a claim.
+REASONING_WORDS = ("because", "therefore", "since", "assumes", "follows", "so that")
+
+
+def critic_codes(prompt: Column, response: Column, least_prompt: int = 3, least_response: int = 8) -> Column:
+    """Codes of the rules that a prompt and its response break: too short, a response that repeats its prompt, no reasoning, empty phrases."""
+    p, r = T.tokens(prompt), T.tokens(response)
+    rules = [
+        ("prompt_too_short", F.size(p) < least_prompt), ("response_too_short", F.size(r) < least_response),
+        ("response_repeats_prompt", (F.size(p) >= least_prompt) & T.text_key(response).startswith(T.text_key(prompt))),
+        ("no_reasoning_words", ~T.contains_any(response, REASONING_WORDS)), ("generic_text", T.contains_any(response, GENERIC_PHRASES)),
+    ]
+    return F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in rules)))
+
+
 def critique(df: DataFrame, dimensions: dict[str, Column]) -> DataFrame:
     """Each dimension clamped to [0, 1], and their mean as ``overall``."""
     own = df

@@ -196,6 +196,16 @@ def rendered(template: str, **values: Column) -> Column:
     return F.concat(*parts)
 
 
+def sft_text(df: DataFrame, template: str, required: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Rows with a training ``text`` made from a template; a required column that is missing is an error, rows with a blank one are left out."""
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {missing}")
+    ok = df.where(" and ".join(f"trim(coalesce(`{c}`, '')) <> ''" for c in required) or "true")
+    out = ok.withColumn("text", rendered(template, **{c: F.col(c) for c in required}))
+    return out.limit(limit) if limit else out
+
+
 def behavior_markdown(sections: Sequence[tuple[str, Column]]) -> Column:
     return F.concat_ws("\n\n", *(F.concat(F.lit(f"## {title}\n"), F.coalesce(body, F.lit(""))) for title, body in sections))
 

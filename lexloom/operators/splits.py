@@ -214,5 +214,22 @@ def grid(spark: SparkSession, axes: dict[str, Sequence], seeds: Sequence[int] =
     return spark.range(total).where(F.pmod("id", F.lit(shard[1])) == shard[0]).select("id", *columns)
 
 
+def quantile_bands(df: DataFrame, score: str, id_col: str) -> DataFrame:
+    """``decile`` (1 to 10) and ``band`` (low, middle, high) of every row by its place among all scores.
+
+    Places come from ranges of the score, so no task sorts everything; of a
+    remainder the first tiles take one row more each.
+    """
+    r = ranked(df.where(F.col(score).isNotNull()), [F.col(score), F.col(id_col)], "_n")
+    total = r.agg(F.count("*").alias("_total"))
+
+    def tile(n: int) -> Column:
+        k, size, more = F.col("_n") - 1, F.floor(F.col("_total") / n), F.col("_total") % n
+        return (F.when(k < more * (size + 1), F.floor(k / (size + 1))).otherwise(more + F.floor((k - more * (size + 1)) / F.greatest(size, F.lit(1)))) + 1).cast("int")
+
+    bands = F.array(F.lit("low"), F.lit("middle"), F.lit("high"))
+    return r.crossJoin(F.broadcast(total)).withColumn("decile", tile(10)).withColumn("band", F.element_at(bands, tile(3))).drop("_n", "_total")  # one row of totals
+
+
 def first_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(n)

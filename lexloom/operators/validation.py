@@ -28,6 +28,18 @@ def min_words(df: DataFrame, id_col: str, text: str, order: str, least: int = 30
     return j.withColumn("reject_reason", F.when(F.col("reject_reason").isNull() & (F.col(order) > F.col("_first")), "duplicate_id").otherwise(F.col("reject_reason"))).drop("_id", "_first")
 
 
+def generated_examples(df: DataFrame, id_col: str, essay: str, required: Sequence[str], score: Column, parsed: Column, order: str) -> DataFrame:
+    """``reject_reason`` of generated examples: malformed, an empty essay, a blank required field, no whole score from 0 to 6, no id, or an id that an accepted row had before."""
+    blank = F.lit(False)
+    for c in required:
+        blank = blank | (F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "")
+    rules = (("malformed", ~parsed), ("empty_essay", T.normalize_ws(essay) == ""), ("incomplete", blank), ("score", ~F.coalesce(score.between(0, 6) & (score == F.rint(score)), F.lit(False))), ("missing_id", F.coalesce(F.trim(F.col(id_col).cast("string")), F.lit("")) == ""))
+    own = df.withColumn("reject_reason", reject_reason(*rules))
+    first = own.where("reject_reason is null").groupBy(F.col(id_col).alias("_id")).agg(F.min(order).alias("_first"))
+    j = own.join(first, F.col(id_col) == F.col("_id"), "left")
+    return j.withColumn("reject_reason", F.when(F.col("reject_reason").isNull() & (F.col(order) > F.col("_first")), "duplicate_id").otherwise(F.col("reject_reason"))).drop("_id", "_first")
+
+
 def train_rows(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON lines of training rows with their fields and the first reason against them."""
     v = F.col(column)

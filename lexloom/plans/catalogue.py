@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.plans import curation, evaluation, more
+from lexloom.plans import curation, evaluation, files, more, rows
 from lexloom.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "curation", "evaluation", "more"]
+__all__ = ["ORACLE_SQL", "QUERIES", "curation", "evaluation", "files", "more", "rows"]

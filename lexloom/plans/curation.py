@@ -435,8 +435,3 @@ def html_links(spark, sf_dir):
 def pipeline_dedup_quality(spark, sf_dir):
     """Quality filter, two-key deduplication and rank split in one flow."""
     return lifecycle.dedup_quality(record_view(spark, sf_dir)).groupBy("split").agg(F.count("*").alias("n"), R6(F.avg("overall")).alias("mean_quality"))
-
-
-@query()
-def dataset_checksum(spark, sf_dir):
-    return lifecycle.dataset_checksum(record_view(spark, sf_dir), ["id", "text", "source"])
