@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.html_extract import extractor
-from lexloom.llm.runtime import materialize, text_or_empty
+from lexloom.llm.runtime import materialize, slices, text_or_empty
 
 #: Documents of each language that the text model is fitted on, and the longest text among them.
 FIT_PER_LANGUAGE, FIT_CHARS = 400, 20_000
@@ -103,7 +103,10 @@ def fit(rows: list[tuple[str, str]]) -> TextModel:
 
 
 def fit_from(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel | None:
-    """Fit on a bounded sample of ``docs``: of each language the first texts in the order of their hashes."""
+    """Fit on a bounded sample of ``docs``: of each language the first distinct texts in the order of their hashes.
+
+    Of more than ``MOST_LANGUAGES`` languages the most frequent are told apart.
+    """
     rows = docs.select(text_or_empty(text_col).alias("text"), F.lower(F.trim(F.col(lang_col))).alias("lang")).where("lang is not null and lang <> ''")
     names = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
     # Hash ranges instead of a ranking keep a common language out of a single task; ranks are only taken within a bounded range.
@@ -116,7 +119,8 @@ def fit_from(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     if keep is None:
         return None
     drawn: dict[str, list[str]] = {n: [] for n in names}
-    for r in rows.where(keep & (F.length("text") <= FIT_CHARS)).select("lang", "text", F.xxhash64("text").alias("h")).sort("h", "text").toLocalIterator():
+    # Copies are one row before they reach the driver, however many there are.
+    for r in rows.where(keep & (F.length("text") <= FIT_CHARS)).select("lang", "text").distinct().withColumn("h", F.xxhash64("text")).sort("h", "text").toLocalIterator():
         if len(drawn[r["lang"]]) < FIT_PER_LANGUAGE:
             drawn[r["lang"]].append(r["text"])
     return fit([(t, n) for n, ts in drawn.items() for t in ts]) if any(drawn.values()) else None
@@ -129,8 +133,7 @@ def evidence(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, 2, 8 << 20, 256):
                 html = part.column(2).to_pylist()
                 found = [model.log_likelihoods(t).astype(float).tolist() for t in own.texts(html)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([declared_language(h) for h in html], pa.string()), pa.array(found, pa.list_(pa.float64()))], ["page_id", "url", "declared", "text_ll"])
