@@ -252,7 +252,7 @@ def feedback_usefulness(spark, sf_dir):
 
 
 @query(f"""WITH {RECORDS}, w AS (SELECT id, lower(text) AS t, CASE WHEN {norm("text")} = '' THEN 0 ELSE len(string_split({norm("text")}, ' ')) END AS words FROM records)
-  SELECT id, round(least(1, words / 120.0), 6) AS clarity, round((CAST(contains(t, 'the') AS INT) + CAST(contains(t, 'of') AS INT)) / 2.0, 6) AS criteria, round(CAST(contains(t, 'ing') AS INT) / 1.0, 6) AS completeness, round(0.25 * (CAST(contains(t, 'because') OR contains(t, 'therefore') AS INT) + CAST(contains(t, 'for example') AS INT) + CAST(contains(t, 'however') OR contains(t, 'although') AS INT) + CAST(contains(t, '?') AS INT)), 6) AS structure FROM w""")
+  SELECT id, round(least(1, words / 120.0), 6) AS clarity, round((CAST(contains(t, 'the') AS INT) + CAST(contains(t, 'of') AS INT)) / 2.0, 6) AS criteria, round(CAST(contains(t, 'ing') AS INT) / 1.0, 6) AS completeness, round(0.25 * (CAST(contains(t, 'because') OR contains(t, 'therefore') AS INT) + CAST(contains(t, 'for example') AS INT) + CAST(contains(t, 'however') OR contains(t, 'although') AS INT) + CAST(contains(t, '?') AS INT)), 6)::DOUBLE AS structure FROM w""")
 def judge_heuristics(spark, sf_dir):
     j = record_view(spark, sf_dir).select("id", quality.judge_scores(F.col("text"), ["the", "of"], ["ing"]).alias("j"))
     return j.select("id", *(R6(f"j.{c}").alias(c) for c in ("clarity", "criteria", "completeness", "structure")))
@@ -335,7 +335,7 @@ def corrected_outputs(spark, sf_dir):
 LATEST = REVIEWS + ", last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY created_at DESC, review_id DESC) AS k FROM reviews) WHERE k = 1)"
 
 
-@query(f"WITH {LATEST} SELECT case_id, decision, CASE WHEN case_id % 3 = 0 THEN 0.5 ELSE 1.0 END AS completeness, decision = 'purchase' AND case_id % 3 <> 0 AS gold FROM last")
+@query(f"WITH {LATEST} SELECT case_id, decision, CAST(CASE WHEN case_id % 3 = 0 THEN 0.5 ELSE 1.0 END AS DOUBLE) AS completeness, decision = 'purchase' AND case_id % 3 <> 0 AS gold FROM last")
 def merged_reviews(spark, sf_dir):
     """Reviewed outputs, how complete they are, and whether they become gold."""
     last = models.latest(reviews(spark, sf_dir), ["case_id"], "created_at", "review_id").withColumn("decision", F.when(F.col("decision") == "purchase", "approved").otherwise(F.col("decision")))
@@ -440,11 +440,11 @@ WORD_HASH = "CAST('0x' || substr(md5({w}), 1, 16) AS UBIGINT)"
 
 
 @query(f"""WITH t AS (SELECT c_custkey AS id, {TOKENS.format(x="c_name || ' ' || c_mktsegment")} AS ts FROM customer), i AS (SELECT id, unnest(ts) AS w, 1.0 AS x FROM t UNION ALL SELECT id, unnest(list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1])), 0.5 FROM t),
-  h AS (SELECT id, {WORD_HASH.format(w="w")} AS h, x FROM i), c AS (SELECT id, CAST(CAST(CASE WHEN h >= 9223372036854775808 THEN (h - 9223372036854775808) % 384 + (9223372036854775808 % 384) * 0 ELSE h % 384 END AS HUGEINT) AS INTEGER) AS at0, h, x FROM h),
-  d AS (SELECT id, CAST(((CAST(h AS HUGEINT) - CASE WHEN h >= 9223372036854775808 THEN CAST(18446744073709551616 AS HUGEINT) ELSE 0 END) % {sim.EMBEDDING} + {sim.EMBEDDING}) % {sim.EMBEDDING} AS INTEGER) AS at, CASE WHEN (h >> 32) % 2 = 0 THEN x ELSE -x END AS w FROM c), s AS (SELECT id, at, sum(w) AS w FROM d GROUP BY id, at), n AS (SELECT id, sqrt(sum(w * w)) AS n FROM s GROUP BY id)
-  SELECT s.id, s.at, round(w / n, 6) AS weight FROM s JOIN n USING (id) WHERE w <> 0""")
+  h AS (SELECT id, CAST({WORD_HASH.format(w="w")} AS HUGEINT) AS h, x FROM i), g AS (SELECT id, h, CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS signed, x FROM h),
+  d AS (SELECT id, CAST((signed % {sim.EMBEDDING} + {sim.EMBEDDING}) % {sim.EMBEDDING} AS INTEGER) AS place, CASE WHEN (h // 4294967296) % 2 = 0 THEN x ELSE -x END AS w FROM g), s AS (SELECT id, place, sum(w) AS w FROM d GROUP BY id, place), n AS (SELECT id, sqrt(sum(w * w)) AS n FROM s GROUP BY id)
+  SELECT s.id, s.place, round(w / n, 6) AS weight FROM s JOIN n USING (id) WHERE w <> 0""")
 def hash_embedding(spark, sf_dir):
     """Places of hashed word embeddings that are not zero."""
     v = sim.hash_embedding(T.tokens(F.concat_ws(" ", "c_name", "c_mktsegment")))
-    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.posexplode(v).alias("at", "w"))
-    return c.where("w <> 0").select("id", "at", R6("w").alias("weight"))
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.posexplode(v).alias("place", "w"))
+    return c.where("w <> 0").select("id", "place", R6("w").alias("weight"))
