@@ -113,7 +113,9 @@ def dedup_id_then_text(spark, sf_dir):
     return dedup.id_then_text(r, "rid", T.text_key("text"), "ord").select("ord", "rid")
 
 
-@query()
+@query(f"""WITH RECURSIVE {RECORDS}, r AS (SELECT id AS ord, CAST(id // 2 AS BIGINT) AS rid, sha256(lower({norm("text")})) AS h, row_number() OVER (ORDER BY id) AS k FROM records),
+  s AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS ids, CAST([] AS VARCHAR[]) AS hs, false AS ok UNION ALL SELECT k, CASE WHEN x THEN list_append(ids, rid) ELSE ids END, CASE WHEN x THEN list_append(hs, h) ELSE hs END, x
+    FROM (SELECT r.k, r.rid, r.h, s.ids, s.hs, NOT list_contains(s.ids, r.rid) AND NOT list_contains(s.hs, r.h) AS x FROM s JOIN r ON r.k = s.k + 1)) SELECT ord, rid, h FROM r JOIN s USING (k) WHERE s.ok""")
 def dedup_two_key_greedy(spark, sf_dir):
     r = record_view(spark, sf_dir).select(F.col("id").alias("ord"), F.floor(F.col("id") / 2).alias("rid"), T.sha256_text(T.text_key("text")).alias("h"))
     return dedup.two_key_greedy(r, "rid", "h", "ord").select("ord", "rid", "h")
@@ -151,7 +153,9 @@ def near_dup_clusters(spark, sf_dir):
     return dedup.clusters(distinct, pairs, "id", rank).select("id", "cluster")
 
 
-@query()
+@query(f"""WITH RECURSIVE {RECORDS}, {GRAMS}, e AS (SELECT left_id AS a, right_id AS b FROM near UNION SELECT right_id, left_id FROM near),
+  walk AS (SELECT a AS node, a AS seen FROM e UNION SELECT w.node, e.b FROM walk w JOIN e ON w.seen = e.a), c AS (SELECT k.id, coalesce(min(w.seen), k.id) AS cluster FROM keyed k LEFT JOIN walk w ON k.id = w.node GROUP BY k.id), s AS (SELECT cluster, count(*) AS size FROM c GROUP BY cluster)
+  SELECT * FROM (SELECT 'unique' AS reason, true AS kept, count(*) FILTER (WHERE size = 1) AS n FROM s UNION ALL SELECT 'representative', true, count(*) FILTER (WHERE size > 1) FROM s UNION ALL SELECT 'near_duplicate', false, CAST(coalesce(sum(size - 1), 0) AS BIGINT) FROM s) WHERE n > 0""")
 def near_dup_decisions(spark, sf_dir):
     """What each record's cluster decided about it."""
     distinct, pairs = _near(spark, sf_dir)
@@ -431,7 +435,9 @@ def html_links(spark, sf_dir):
     return readers.html_links(read(spark, sf_dir, "pages"), "page_id", "url", "html").select("page_id", "link")
 
 
-@query()
+@query(f"""WITH {RECORDS}, {FAST}, f AS (SELECT *, row_number() OVER (PARTITION BY lower({norm("text")}) ORDER BY id) AS rn FROM scored WHERE trim(text, ' ') <> '' AND overall >= 60),
+  r AS (SELECT overall, row_number() OVER (ORDER BY sha256(CAST(id AS VARCHAR) || chr(10) || text), id) AS k, count(*) OVER () AS n FROM f WHERE rn = 1), c AS (SELECT *, greatest(1, CAST(floor(n * 0.8) AS BIGINT)) AS a, greatest(1, CAST(floor(n * 0.1) AS BIGINT)) AS b FROM r)
+  SELECT CASE WHEN k <= a THEN 'train' WHEN k <= a + b THEN 'validation' ELSE 'test' END AS split, count(*) AS n, round(avg(overall), 6) AS mean_quality FROM c GROUP BY 1""")
 def pipeline_dedup_quality(spark, sf_dir):
     """Quality filter, two-key deduplication and rank split in one flow."""
     return lifecycle.dedup_quality(record_view(spark, sf_dir)).groupBy("split").agg(F.count("*").alias("n"), R6(F.avg("overall")).alias("mean_quality"))

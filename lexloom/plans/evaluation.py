@@ -161,7 +161,8 @@ def paired_comparison(spark, sf_dir):
     return _paired(spark, sf_dir).select("task", R6("delta").alias("delta"), "n", "positives", R6("ci_low").alias("ci_low"), R6("ci_high").alias("ci_high"))
 
 
-@query()
+@query(f"""WITH {PAIR}, c AS (SELECT task, count(*) FILTER (WHERE d > 0) AS positives, count(*) AS n FROM two GROUP BY task), t AS (SELECT *, unnest(range(0, least(positives, n - positives) + 1)) AS k FROM c)
+  SELECT task, positives, n, round(least(1.0, 2 * sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) - n * ln(2)))), 6) AS p_value FROM t GROUP BY task, positives, n""")
 def paired_sign_test(spark, sf_dir):
     """Exact p of the same comparison."""
     return _paired(spark, sf_dir).select("task", "positives", "n", R6("p_value").alias("p_value"))
