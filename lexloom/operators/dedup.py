@@ -144,9 +144,9 @@ def jaccard_pairs(rows: DataFrame, id_col: str, items: Column, threshold: float)
     df_ = distinct.select(F.explode("s").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     whole = distinct.select("node", F.explode("s").alias("t"), F.size("s").alias("n")).join(df_, "t")
     order = Window.partitionBy("node").orderBy("df", "t")
-    prefix = whole.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold) + 1).where("df > 1").select("node", "n", "t")
+    prefix = whole.withColumn("at", F.row_number().over(order)).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).where("df > 1").select("node", "n", "t")
     other = prefix.select(F.col("node").alias("node2"), F.col("n").alias("n2"), "t")
-    met = prefix.join(other, "t").where((F.col("node") < F.col("node2")) & (F.least("n", "n2") >= threshold * F.greatest("n", "n2"))).select("node", "node2").distinct()
+    met = prefix.join(other, "t").where((F.col("node") < F.col("node2")) & (F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9)).select("node", "node2").distinct()
     full = distinct.select("node", "s")
     checked = met.join(full, "node").join(full.select(F.col("node").alias("node2"), F.col("s").alias("s2")), "node2")
     pairs = checked.select(F.col("node").alias("left_id"), F.col("node2").alias("right_id"), sim.jaccard(F.col("s"), F.col("s2")).alias("similarity")).where(F.col("similarity") >= threshold)

@@ -11,10 +11,13 @@ MOST_ROUNDS = 60
 
 
 def persisted(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in ``spark.checkpoint.dir``; a temporary folder only where the session names none."""
+    """A reliable checkpoint in ``spark.checkpoint.dir``; a temporary folder only where a local session names none."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexloom-"))
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="lexloom-"))
     return df.checkpoint()
 
 

@@ -142,11 +142,12 @@ def js_divergence(p: Column, q: Column) -> Column:
 
 def disjoint_strategy(df: DataFrame, prompt: str, score: str, targets: Sequence[float] = (0.8, 0.1, 0.1), least_train: int = 4, weight: float = 3.0, bins: int = 61) -> DataFrame:
     """Assignments with at least ``least_train`` training prompts and one of each other, by size error plus ``weight`` times the mean divergence between splits."""
-    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(prompt).alias("prompt"), T.clamp(F.rint(score), 0, bins - 1).alias("score")).agg(F.count("*").alias("n"))
-    rows = counts.orderBy("prompt", "score").collect()  # prompts by score bins: bounded by MOST_PROMPTS * bins below
-    prompts = sorted({r["prompt"] for r in rows})
+    scored = df.where(F.col(score).isNotNull())
+    prompts = sorted(r[0] for r in scored.select(prompt).distinct().limit(MOST_PROMPTS + 1).collect())
     if len(prompts) > MOST_PROMPTS:
-        raise ValueError(f"{len(prompts)} prompts give too many assignments; at most {MOST_PROMPTS}")
+        raise ValueError(f"too many prompts for all assignments; at most {MOST_PROMPTS}")
+    # At most MOST_PROMPTS times ``bins`` rows, as was seen before.
+    rows = scored.groupBy(F.col(prompt).alias("prompt"), T.clamp(F.rint(score), 0, bins - 1).alias("score")).agg(F.count("*").alias("n")).collect()
     import numpy as np
 
     hist = np.zeros((len(prompts), bins))

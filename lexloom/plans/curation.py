@@ -248,9 +248,18 @@ def prompt_group_split(spark, sf_dir):
     return s.select("aid", R6("size_error").alias("size_error"), R6("dist_error").alias("dist_error"), R6("objective").alias("objective"))
 
 
-@query()
+@query(f"""WITH {RESPONSES}, c AS (SELECT task || '-' || CAST(seed % 2 AS VARCHAR) AS prompt, greatest(0, least(60, round_even(score, 0))) AS score, count(*) AS n FROM responses WHERE score IS NOT NULL GROUP BY 1, 2),
+  p AS (SELECT prompt, row_number() OVER (ORDER BY prompt) - 1 AS p, count(*) OVER () AS k FROM (SELECT DISTINCT prompt FROM c)), d AS (SELECT aid, prompt, p, CAST(floor(aid / pow(3, k - 1 - p)) AS BIGINT) % 3 AS s FROM p, (SELECT range AS aid FROM range(729))),
+  a AS (SELECT aid, string_agg(CAST(s AS VARCHAR), '' ORDER BY p) AS digits FROM d GROUP BY aid HAVING count(*) FILTER (WHERE s = 0) >= 2 AND count(*) FILTER (WHERE s = 1) >= 1 AND count(*) FILTER (WHERE s = 2) >= 1),
+  h AS (SELECT aid, s, score, sum(n) AS n FROM d JOIN c USING (prompt) GROUP BY 1, 2, 3), z AS (SELECT aid, s, sum(n) AS size FROM h GROUP BY 1, 2), t AS (SELECT sum(n) AS total FROM c),
+  se AS (SELECT aid, sum(abs(size / total - CASE WHEN s = 0 THEN 0.8 ELSE 0.1 END)) AS size_error FROM z, t GROUP BY aid),
+  q AS (SELECT z.aid, z.s, v.score, coalesce(h.n, 0) / z.size AS q FROM z CROSS JOIN (SELECT DISTINCT score FROM c) v LEFT JOIN h ON h.aid = z.aid AND h.s = z.s AND h.score = v.score),
+  j AS (SELECT x.aid, x.s AS s1, y.s AS s2, sum(CASE WHEN x.q > 0 THEN 0.5 * x.q * log2(x.q / ((x.q + y.q) / 2)) ELSE 0 END + CASE WHEN y.q > 0 THEN 0.5 * y.q * log2(y.q / ((x.q + y.q) / 2)) ELSE 0 END) AS js FROM q x JOIN q y ON x.aid = y.aid AND x.score = y.score AND x.s < y.s GROUP BY 1, 2, 3),
+  v AS (SELECT aid, sum(js) / 3 AS divergence FROM j GROUP BY aid) SELECT CAST(a.aid AS INTEGER) AS aid, digits, round(size_error, 6) AS size_error, round(divergence, 6) AS divergence, round(size_error + 3 * divergence, 6) AS cost FROM a JOIN se USING (aid) JOIN v USING (aid)""")
 def prompt_disjoint_strategy(spark, sf_dir):
-    return splits.disjoint_strategy(responses(spark, sf_dir).withColumn("prompt", F.concat("task", F.lit("-"), F.col("seed") % 2)), "prompt", "score", least_train=2)
+    """Cost of every assignment of prompts to splits that leaves enough of them for training."""
+    s = splits.disjoint_strategy(responses(spark, sf_dir).withColumn("prompt", F.concat("task", F.lit("-"), F.col("seed") % 2)), "prompt", "score", least_train=2)
+    return s.select("aid", "digits", *(R6(c).alias(c) for c in ("size_error", "divergence", "cost")))
 
 
 @query("""WITH r AS (SELECT doc_id AS id, source, row_number() OVER (PARTITION BY source ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS turn, count(*) OVER (PARTITION BY source) AS label_size FROM documents)
