@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import text_or_empty
+from lexloom.llm.runtime import lean, text_or_empty
 
 #: Symbols of a piece that are encoded in one go, and pieces in each of the two generations of a worker's cache.
 LEAF = 64
@@ -246,7 +246,7 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             n, ids, back = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, SCHEMA_DIGEST.format(kind=kind))
+    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(lean(run), SCHEMA_DIGEST.format(kind=kind))
 
 
 def encode_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,7 +261,7 @@ def encode_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 ids = [own.encode(t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -274,4 +274,4 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
             texts = [own.decode(x.as_py() or []) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(lean(run), f"doc_id {kind}, text string")

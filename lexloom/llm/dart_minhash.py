@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.components import components
-from lexloom.llm.runtime import discard, materialize, slices, text_or_empty
+from lexloom.llm.runtime import discard, lean, materialize, slices, text_or_empty
 from lexloom.llm.textwords import elements, mix, shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -206,7 +206,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, row
                 yield signatures(batch.slice(lo), sets)
 
     rows_ = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), text_or_empty(text_col).alias("text"))
-    return rows_.mapInArrow(run, f"doc_id {kind}, key binary, fp binary, bands array<bigint>")
+    return rows_.mapInArrow(lean(run), f"doc_id {kind}, key binary, fp binary, bands array<bigint>")
 
 
 _LINK = "a binary, b binary, similarity double"
@@ -249,7 +249,7 @@ def hub_links(pairs: DataFrame, found: DataFrame, least: float) -> DataFrame:
             if out:
                 yield _link_batch(out)
 
-    return dealt.mapInArrow(run, _LINK)
+    return dealt.mapInArrow(lean(run), _LINK)
 
 
 def _links(a: list[tuple[bytes, bytes, np.ndarray]], b: list[tuple[bytes, bytes, np.ndarray]] | None, least: float) -> list[tuple[bytes, bytes, float]]:
@@ -340,7 +340,7 @@ def rest_links(members: DataFrame, found: DataFrame, least: float) -> DataFrame:
         if out:
             yield _link_batch(out)
 
-    return dealt.mapInArrow(run, _LINK)
+    return dealt.mapInArrow(lean(run), _LINK)
 
 
 def _with_elements(rows: DataFrame, size: int) -> DataFrame:
@@ -352,7 +352,7 @@ def _with_elements(rows: DataFrame, size: int) -> DataFrame:
                 found = [elements(t.as_py(), size) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([e.tobytes() for e in found], pa.binary()), pa.array([len(e) for e in found], pa.int64())], ["fp", "elements", "n"])
 
-    return rows.mapInArrow(run, "fp binary, elements binary, n bigint")
+    return rows.mapInArrow(lean(run), "fp binary, elements binary, n bigint")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:

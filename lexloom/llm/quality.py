@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm import crf
-from lexloom.llm.runtime import held_out, labelled_sample, slices, text_or_empty
+from lexloom.llm.runtime import held_out, labelled_sample, lean, slices, text_or_empty
 from lexloom.llm.textwords import _RINV, _R, _VALUE, _powers, mix
 
 #: Labelled documents of each class that a model is fitted on, and the longest text among them.
@@ -68,11 +68,10 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     gap = np.concatenate([[True], (kind == 4) | (kind == 7), [True]])
     edges = np.flatnonzero(gap[1:] != gap[:-1])
     first, last = edges[::2], edges[1::2]
-    if len(b) >= len(_pows[0]):
-        _pows[:] = [_powers(_R, 2 * len(b)), _powers(_RINV, 2 * len(b))]
+    pows = _pows if len(b) < len(_pows[0]) else [_powers(_R, len(b) + 1), _powers(_RINV, len(b) + 1)]
     sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_VALUE[b] * _pows[0][: len(b)], out=sums[1:])
-    word = mix((sums[last] - sums[first]) * _pows[1][first])
+    np.cumsum(_VALUE[b] * pows[0][: len(b)], out=sums[1:])
+    word = mix((sums[last] - sums[first]) * pows[1][first])
     of = np.searchsorted(start, first, "right") - 1
     n = len(start)
     words = np.bincount(of, minlength=n).astype(np.float64)
@@ -183,7 +182,7 @@ def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", t
                 found = model.scores(texts) if model else np.ones(len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(lean(run), f"doc_id {kind}, score double")
 
 
 def keep(docs: DataFrame, model: QualityModel | None, text_col: str = "text", least: float = GOOD_FROM) -> DataFrame:
@@ -196,4 +195,4 @@ def keep(docs: DataFrame, model: QualityModel | None, text_col: str = "text", le
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(model.scores(texts) >= least)) if model else part
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -69,6 +70,19 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int, most_rows: int =
         yield batch.slice(lo)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over the batches of a partition; at its end the worker, which later stages use again, returns memory it no longer needs."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+        if trim:
+            trim(0)
+
+    return inner
+
+
 def text_or_empty(name: str) -> Column:
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.runtime import text_or_empty
+from lexloom.llm.runtime import lean, text_or_empty
 
 #: Characters of a class, and strings of a part, above which a part counts as any text.
 MOST_CHARS, MOST_STRINGS = 16, 64
@@ -286,7 +286,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(item))], ["doc_id", "found"])
 
     schema = f"doc_id {kind}, found array<struct<kind: string, start_at: int, end_at: int, base: boolean>>"
-    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(lean(run), schema)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
@@ -308,5 +308,5 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
                         texts[i] = "".join(out) + text[done:]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if j == at else c for j, c in enumerate(batch.columns)], schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
