@@ -104,6 +104,41 @@ def test_sequence_pairs_are_all_pairs(spark, monkeypatch):
     assert len(want) > 10 and sorted((x.left_id, x.right_id) for x in got) == sorted(want)
 
 
+def test_paraphrase_links_are_all_pairs(spark, monkeypatch):
+    """Classes and numbers of links are those of all pairs, where words are rare and where they are common, of short and long prompts."""
+    r = random.Random(8)
+    hosts = [f"https://{a}{b}.example.com/" for a in ("", "www.", "m.") for b in ("alpha", "beta")]
+    prompts = {r.choice(hosts) + f"{r.choice(['de', 'en'])}/{r.randint(1, 400)}{r.choice(['', '.html'])}" for _ in range(150)} | {"", "!", "!!", "!!!", "aaaa", "aaaaa", "Aaaa ", "ab", "a b"}
+    base = [f"w{i}" for i in range(30)]
+    prompts |= {" ".join(base[:k] + ["x"] + base[k + 1 :]) for k in range(0, 30, 5)}
+    prompts = sorted(prompts)
+    rows = [(p, r.choice(["train", "train", "test"])) for p in prompts] + [(r.choice(prompts), "validation") for _ in range(12)] + [(None, "train")]
+    splits_of, grams = {}, lambda x: {x[i : i + 3] for i in range(max(1, len(x) - 2))} if x else set()
+    for p, s in rows:
+        splits_of.setdefault(p or "", set()).add(s)
+    import re
+
+    words = {p: set(re.findall(r"[a-z0-9']+", p.lower())) for p in prompts}
+    chars = {p: grams(" ".join(p.lower().split())) for p in prompts}
+    near = lambda a, b, t: bool(a | b) and len(a & b) / len(a | b) >= t
+    links = {p: {q for q in prompts if q != p and len(splits_of[p] | splits_of[q]) > 1 and (near(words[p], words[q], 0.75) or near(chars[p], chars[q], 0.85))} for p in prompts}
+    want = {}
+    for p in prompts:
+        seen, todo = {p}, [p]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        want[p] = (min(seen), len(links[p]))
+    df = frame(spark, rows, "p string, s string")
+    for limit, short in ((3, 60), (64, 20)):
+        monkeypatch.setattr(lineage, "RARE_PROMPTS", limit, raising=False)
+        monkeypatch.setattr(lineage, "SHORT_PROMPT", short, raising=False)
+        got = {x.prompt: (x.class_id, x.links) for x in lineage.paraphrase_links(df, "p", "s").collect()}
+        assert {p: (got[p], want[p]) for p in want if got[p] != want[p]} == {} and len(got) == len(want)
+        assert sum(n for _, n in want.values()) > 300
+
+
 def test_lsh_candidates_are_all_pairs_of_buckets(spark, tmp_path, monkeypatch):
     """A family of near copies counts with all its pairs, texts of equal signatures too, in blocks of any size."""
     from lexloom.functions import similarity as sim
