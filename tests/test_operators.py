@@ -104,6 +104,33 @@ def test_sequence_pairs_are_all_pairs(spark, monkeypatch):
     assert len(want) > 10 and sorted((x.left_id, x.right_id) for x in got) == sorted(want)
 
 
+def test_sequence_runs_bound_before_subsequences(monkeypatch):
+    """Texts of one make that share few runs never come to the longest common subsequence; every pair of the plain loop stays."""
+    import difflib
+
+    r = random.Random(9)
+    syllables = ["the", "tion", "en", "sh", "er", "ing", "of", "an", "ble", "ly"]
+    plain = [" ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(90)) for _ in range(40)]
+    plain = ["".join(r.choice("qzxkjvwympu0123456789") if r.random() < 0.04 else c for c in t) for t in plain]
+    near = []
+    for t in plain[:12]:
+        c = list(t)
+        for _ in range(r.randint(5, 40)):
+            c[r.randrange(len(c))] = r.choice("qzxkjvw~#")
+        near += ["".join(c), "the " + t[: len(t) - r.randint(0, 60)], t[60:] + " " + "".join(r.sample("qzxkjvw", 7))]
+    rows = list(enumerate(plain + near + ["", "abc", "abd"]))
+    r.shuffle(rows)
+    calls, old = [], dedup._common_reaches
+    monkeypatch.setattr(dedup, "_common_reaches", lambda *x: calls.append(1) or old(*x))
+    want = {(i, j) for i, a in rows for j, b in rows if i < j and a and b and difflib.SequenceMatcher(None, a, b).ratio() >= 0.9}
+    rows = [x for x in rows if x[1]]
+    got = dedup._sequence_matches(rows, None, 0.9)
+    assert {x[:2] for x in got} == want and len(want) > 12 and len(calls) < 300
+    got = dedup._sequence_matches(rows[:30], rows[30:], 0.9)
+    first = {i for i, _ in rows[:30]}
+    assert {x[:2] for x in got} == {p for p in want if (p[0] in first) != (p[1] in first)}
+
+
 def test_paraphrase_links_are_all_pairs(spark, monkeypatch):
     """Classes and numbers of links are those of all pairs, where words are rare and where they are common, of short and long prompts."""
     r = random.Random(8)
