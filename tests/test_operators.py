@@ -131,6 +131,50 @@ def test_sequence_runs_bound_before_subsequences(monkeypatch):
     assert {x[:2] for x in got} == {p for p in want if (p[0] in first) != (p[1] in first)}
 
 
+def test_sequence_blocks_equal_difflib():
+    """The characters matched are difflib's, with runs of rare characters, cut ones, and rare ones only in one of the texts."""
+    import difflib
+
+    r = random.Random(3)
+    for _ in range(150):
+        a = [r.choice("etaoin  " * 12 + "qzxkjvw") for _ in range(r.randint(150, 420))]
+        for _ in range(r.randint(0, 6)):
+            at = r.randrange(len(a))
+            a[at:at] = r.choice(["qz", "qzx", "kjvw", "zz", "é"])
+        b = list(a) if r.random() < 0.8 else r.sample(a, len(a))
+        for _ in range(r.randint(0, 60)):
+            at = r.randrange(len(b))
+            b[at : at + r.randint(0, 3)] = r.choice(["", "q", "e", "zq", "at ", "#"])
+        a, b = "".join(a), "".join(b) + "the end of it " * 8
+        assert dedup._matched(a, b + a[:150]) == sum(x.size for x in difflib.SequenceMatcher(None, a, b + a[:150]).get_matching_blocks())
+
+
+def test_sequence_runs_leave_few_pairs(spark, monkeypatch):
+    """Of texts of one make the counts of runs leave little more than the pairs asked for, and none of these is lost, in blocks of any size."""
+    import difflib
+
+    r = random.Random(5)
+    syllables = ["the", "tion", "en", "sh", "er", "ing", "of", "an", "ble", "ly"]
+    texts = [" ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(r.randint(60, 80))) for _ in range(48)]
+    texts = ["".join(r.choice("qzxkjvwympu") if r.random() < 0.04 else c for c in t) for t in texts]
+    for t in texts[:10]:
+        c = list(t)
+        for _ in range(r.randint(5, 40)):
+            c[r.randrange(len(c))] = r.choice("qzxkjvw~#")
+        texts += ["".join(c), t[: len(t) - r.randint(0, 150)], t + "er the ly " * r.randint(1, 12)]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if difflib.SequenceMatcher(None, texts[i], texts[j]).ratio() >= 0.9}
+    chosen = dedup._choose_bits(texts, 200, 0.9)
+    side = dedup._side(texts, chosen)
+    left = {tuple(sorted(p)) for p in zip(*(x.tolist() for x in dedup._run_matches(side, None, chosen["chars"], 0.9)))}
+    assert want <= left and 10 < len(want) and len(left) < 150
+    halves = [tuple(x[s] for x in side) for s in (slice(0, 54), slice(54, None))]
+    across = dedup._run_matches(*halves, chosen["chars"], 0.9)
+    assert {(i, j + 54) for i, j in zip(*(x.tolist() for x in across))} >= {p for p in want if p[0] < 54 <= p[1]}
+    monkeypatch.setattr(dedup, "SEQUENCE_ROWS", 40)
+    got = dedup.sequence_pairs(frame(spark, list(enumerate(texts)) + [(900, texts[3])], "id int, text string"), "id", "text", 0.9).collect()
+    assert sorted((x.left_id, x.right_id) for x in got) == sorted(want | {(3, 900)})
+
+
 def test_paraphrase_links_are_all_pairs(spark, monkeypatch):
     """Classes and numbers of links are those of all pairs, where words are rare and where they are common, of short and long prompts."""
     r = random.Random(8)
